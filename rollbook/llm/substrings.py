@@ -38,6 +38,31 @@ LENGTH = 400
 GRAM = 64
 BLOCK_SEGMENTS = 512
 _PLACE = 26
+_BITS = 12
+_ZSTD = pa.Codec("zstd", 1)
+
+
+def _short(raw: bytes) -> bytes:
+    """Compressed, with the length in front."""
+    return len(raw).to_bytes(4, "little") + (_ZSTD.compress(raw, asbytes=True) if raw else b"")
+
+
+def _raw(short) -> bytes:
+    n = int.from_bytes(memoryview(short)[:4], "little")
+    return _ZSTD.decompress(memoryview(short)[4:], n, asbytes=True) if n else b""
+
+
+def _beside(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Documents with compressed texts (packed), joined with rows by number and key, null equal to null."""
+
+    def pack(batches):
+        for batch in batches:
+            texts = pa.array([_short(x.as_buffer().to_pybytes()) for x in batch.column(2)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], ["doc_id", "key", "packed"])
+
+    packed = docs.select("doc_id", "key", "text").mapInArrow(pack, "doc_id long, key long, packed binary")
+    rows = rows.withColumnsRenamed({"doc_id": "its_id", "key": "its_key"})
+    return packed.join(rows, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("key") == F.col("its_key")), how)
 
 
 def _window_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -52,6 +77,8 @@ def _window_min(values: np.ndarray, width: int) -> np.ndarray:
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """(text, anchor, first window, last window, hash) of the anchors of one block, places within the block."""
+    if length >= 1 << _BITS:
+        raise ValueError(f"length must be under {1 << _BITS}")
     if len(data) < length:
         return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
     at = np.arange(len(data) - gram + 1)
@@ -137,40 +164,45 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                 if not len(text):
                     continue
                 raw, base = memoryview(data), offsets[text]
-                digest = [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(lo.tolist(), (hi + length).tolist(), strict=True)]
+                digest = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(lo.tolist(), (hi + length).tolist(), strict=True)), np.uint64, len(lo))
                 rows = pa.array(first + text)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(rows), keys.take(rows), *(pa.array((x - base).astype(np.int32)) for x in (place, lo, hi)), pa.array(value.view(np.int64)), pa.array(digest, pa.binary())],
-                    ["doc_id", "key", "place", "first", "last", "anchor", "segment"],
-                )
-
-    found = docs.select("doc_id", "key", "text").mapInArrow(anchored, "doc_id long, key long, place int, first int, last int, anchor long, segment binary")
-    where = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "first", "last", "place")
+                # One number for first window, anchor and last window keeps the shuffled rows short.
+                at = ((lo - base) << 2 * _BITS) | ((place - lo) << _BITS) | (hi - lo)
+                yield pa.RecordBatch.from_arrays([ids.take(rows), keys.take(rows), pa.array(at), pa.array(value.view(np.int64)), pa.array(digest.view(np.int64))], ["doc_id", "key", "at", "anchor", "segment"])
+
+    # Anchor and segment are independent hashes, 128 bits in all.
+    found = docs.select("doc_id", "key", "text").mapInArrow(anchored, "doc_id long, key long, at long, anchor long, segment long")
+    first = F.shiftright("at", 2 * _BITS)
+    last = first + F.col("at").bitwiseAND((1 << _BITS) - 1)
+    where = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "at")
     segments = found.groupBy("anchor", "segment").agg(F.count("*").alias("n"), F.min(where).alias("least"))
     shared = segments.groupBy("anchor").agg(F.count("*").alias("m"), F.sum("n").alias("total")).where("total > 1")
     segments = cut(segments.join(shared, "anchor").select("anchor", "segment", "n", "m", "least"))
     whole = found.join(segments.where("n > 1").select("anchor", "segment", "least"), ["anchor", "segment"])
-    whole = whole.select("doc_id", "key", "first", "last", (where != F.col("least")).alias("earlier"))
+    whole = whole.select("doc_id", "key", first.alias("first"), last.alias("last"), (where != F.col("least")).alias("earlier"))
 
     # One segment of each class stands for it in its block; text is fetched for these alone.
-    wanted = segments.where("m > 1").select("anchor", "m", "least.*").drop("no_id")
-    grouped = wanted.groupBy(F.col("doc_id").alias("its_id"), F.col("key").alias("its_key")).agg(F.collect_list(F.struct("anchor", "m", "place", "first", "last")).alias("wanted"))
-    meets = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("key") == F.col("its_key"))
+    wanted = segments.where("m > 1").select("anchor", "m", "least.doc_id", "least.key", "least.at")
+    place = first + F.shiftright("at", _BITS).bitwiseAND((1 << _BITS) - 1)
+    grouped = wanted.groupBy("doc_id", "key").agg(F.collect_list(F.struct("anchor", "m", place.alias("place"), first.alias("first"), last.alias("last"))).alias("wanted"))
 
     def fetch(batches):
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        before = None
         for batch in batches:
             out: dict[str, list] = {k: [] for k in ("doc_id", "key", "anchor", "m", "place", "first", "last", "bytes")}
             for doc, key, text, rows in zip(*(batch.column(i) for i in range(4)), strict=True):
-                raw = text.as_buffer().to_pybytes()
+                doc, key = doc.as_py(), key.as_py()
+                if (doc, key) == before:
+                    continue  # a row of equal number and text, whose windows are repeated anyway
+                before, raw = (doc, key), _raw(text.as_buffer())
                 for r in rows.as_py():
-                    for k, v in (("doc_id", doc.as_py()), ("key", key.as_py()), ("bytes", raw[r["first"] : r["last"] + length]), *r.items()):
+                    for k, v in (("doc_id", doc), ("key", key), ("bytes", _short(raw[r["first"] : r["last"] + length])), *r.items()):
                         out[k].append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], list(out))
+            yield pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in zip(out, kinds, strict=True)], list(out))
 
     schema = "doc_id long, key long, anchor long, m long, place long, first long, last long, bytes binary"
-    blocks = docs.select("doc_id", "key", "text").join(grouped, meets).select("doc_id", "key", "text", "wanted").mapInArrow(fetch, schema)
-    # Rows of equal number and text are fetched twice; their windows are repeated anyway.
-    blocks = cut(blocks.groupBy("doc_id", "key", "anchor", "m", "place", "first", "last").agg(F.max("bytes").alias("bytes")))
+    blocks = cut(_beside(docs, grouped, "inner").select("doc_id", "key", "packed", "wanted").mapInArrow(fetch, schema))
     matched = [_solved(blocks.where(F.col("m") <= BLOCK_SEGMENTS).withColumnRenamed("anchor", "block"), length)]
     large = blocks.where(F.col("m") > BLOCK_SEGMENTS)
     if not large.isEmpty():
@@ -198,7 +230,12 @@ def _solved(rows: DataFrame, length: int) -> DataFrame:
         table = table.sort_by([("doc_id", "ascending"), ("key", "ascending"), ("first", "ascending")])
         out: dict[str, list] = {"doc_id": [], "key": [], "first": [], "last": [], "earlier": []}
         docs, keys, begins = (table.column(x).to_pylist() for x in ("doc_id", "key", "first"))
-        segments = table.column("bytes").to_pylist()
+        segments = [_raw(x) for x in table.column("bytes").to_pylist()]
+        # A row that comes twice (equal number, text and place) must not match itself.
+        same = [i for i in range(1, len(docs)) if (docs[i], keys[i], begins[i], segments[i]) == (docs[i - 1], keys[i - 1], begins[i - 1], segments[i - 1])]
+        for i in reversed(same):
+            for own in (docs, keys, begins, segments):
+                del own[i]
         for flag, starts in zip((True, False), repeated_positions(segments, length), strict=True):
             for doc, key, begin, own in zip(docs, keys, begins, starts, strict=True):
                 if len(own):
@@ -225,6 +262,7 @@ def _halved(rows: DataFrame, length: int) -> list[DataFrame]:
                 cols = {k: batch.column(k).to_pylist() for k in ("doc_id", "key", "anchor", "place", "first", "last", "bytes", "low", "path")}
                 out: dict[str, list] = {k: [] for k in ("doc_id", "key", "anchor", "place", "first", "last", "bytes", "low", "path", "segment")}
                 for doc, key, anchor, place, first, last, raw, low, path in zip(*cols.values(), strict=True):
+                    raw = _raw(raw)
                     for a in (low, low + width):
                         # Windows whose anchor stands a .. a + width - 1 behind their start.
                         lo, hi = max(first, place - a - width + 1), min(last, place - a)
@@ -236,7 +274,7 @@ def _halved(rows: DataFrame, length: int) -> list[DataFrame]:
                         own = xxhash.xxh3_64_intdigest(shared + path.to_bytes(8, "little", signed=True) + a.to_bytes(4, "little"))
                         own -= (own >> 63) << 64
                         digest = xxhash.xxh3_128_digest(part + (place - lo).to_bytes(4, "little"))
-                        for k, v in zip(out, (doc, key, anchor, place, lo, hi, part, a, own, digest), strict=True):
+                        for k, v in zip(out, (doc, key, anchor, place, lo, hi, _short(part), a, own, digest), strict=True):
                             out[k].append(v)
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], list(out))
@@ -269,14 +307,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
     spans = repeated_spans(keyed, length, gram)
     if keep_first:
         spans = spans.where("earlier")
-    spans = spans.groupBy(F.col("doc_id").alias("its_id"), F.col("key").alias("its_key")).agg(F.collect_set(F.struct("first", "last")).alias("spans"))
-    joined = keyed.join(spans, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("key") == F.col("its_key")), "left").select("doc_id", "text", "spans")
+    spans = spans.groupBy("doc_id", "key").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    joined = _beside(keyed, spans, "left").select("doc_id", "packed", "spans")
 
     def kept(batches):
         for batch in batches:
             out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept")}
             for text, spans in zip(batch.column(1), batch.column(2), strict=True):
-                raw = text.as_buffer().to_pybytes()
+                raw = _raw(text.as_buffer())
                 runs: list[list[int]] = []
                 for s in sorted((x["first"], x["last"] + length) for x in spans.as_py() or ()):
                     if runs and s[0] <= runs[-1][1]:
