@@ -2,9 +2,9 @@
 
 Texts are split at white space, which the tokenizer never joins over, in
 blocks of whole documents.  Each block's distinct words are dealt by hash to
-buckets, where a word that many blocks hold is encoded once; identifiers and
-pieces go back to their block and meet its documents by position.  Decoding
-joins identifiers to the vocabulary's pieces, word by word.
+buckets, where a word that many blocks hold is encoded once; identifiers
+go back to their block and meet its documents by position.  Decoding joins
+identifiers to the vocabulary's pieces, word by word.
 
 What is shuffled is packed and compressed: a row is a block's words of one
 bucket, or a block's documents as word positions.  A task holds one block, or
@@ -109,8 +109,8 @@ def _through_words(docs: DataFrame, vocabulary: str, buckets: int | None, digest
                 yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([i], pa.int32()), pa.array([blob])], ["block", "bucket", "words"])
 
     def encoded(batches):
-        """Each word's identifiers and pieces as texts, parted by a null byte; a word met before is looked up."""
-        loaded, pieces = _tokenizer(vocabulary)
+        """Each word's identifiers, four bytes each; a word met before is looked up."""
+        loaded = _tokenizer(vocabulary)[0]
         known: dict[bytes, bytes] = {}
         for batch in batches:
             for key, bucket, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -119,7 +119,7 @@ def _through_words(docs: DataFrame, vocabulary: str, buckets: int | None, digest
                 for i in range(0, len(new), _ENCODE_BATCH):
                     part = new[i : i + _ENCODE_BATCH]
                     for w, e in zip(part, loaded.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                        known[w] = (" ".join(map(str, e.ids)) + "\0" + " ".join(pieces[x] for x in e.ids)).encode()
+                        known[w] = np.array(e.ids, np.int32).tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([bucket], pa.int32()), pa.array([_packed([known[w] for w in own])])], ["block", "bucket", "words"])
 
     def placed(batches):
@@ -140,8 +140,10 @@ def _through_words(docs: DataFrame, vocabulary: str, buckets: int | None, digest
         blobs = dict(zip(table.column("bucket").to_pylist(), table.column("words").to_pylist(), strict=True))
         if not documents.num_rows or len(blobs) != documents.column("parts")[0].as_py():
             raise RuntimeError("a block of documents changed between two readings of the input; write the input as a table first")
-        found = [x.decode().split("\0") for b in sorted(blobs) for x in _unpacked(blobs[b])]
-        ids, texts = [x[0] for x in found], [x[1] for x in found]
+        # Identifiers meet the vocabulary's pieces, whose number is fixed, once for each distinct word.
+        vocabulary_pieces = _tokenizer(vocabulary)[1]
+        found = [np.frombuffer(x, np.int32).tolist() for b in sorted(blobs) for x in _unpacked(blobs[b])]
+        ids, texts = [" ".join(map(str, x)) for x in found], [" ".join(map(vocabulary_pieces.__getitem__, x)) for x in found]
         sizes = np.frombuffer(documents.column("sizes")[0].as_py(), np.int32)
         places = np.frombuffer(zlib.decompress(documents.column("places")[0].as_py()), np.int32).tolist()
         numbers, pieces, at = [], [], 0
