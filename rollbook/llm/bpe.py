@@ -32,9 +32,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import string_blocks
+from .common import give_back, string_blocks, tidy
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 _ENCODE_BATCH = 20_000
 _LOADED: dict[str, tuple] = {}
 
@@ -101,6 +101,7 @@ def _through_words(docs: DataFrame, vocabulary: str, buckets: int | None, digest
     buckets = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
+    @tidy
     def words(batches):
         """A row for each block and bucket with words."""
         for key, _, block in _blocks(batches):
@@ -108,6 +109,7 @@ def _through_words(docs: DataFrame, vocabulary: str, buckets: int | None, digest
             for i, blob in dealt:
                 yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([i], pa.int32()), pa.array([blob])], ["block", "bucket", "words"])
 
+    @tidy
     def encoded(batches):
         """Each word's identifiers, four bytes each; a word met before is looked up."""
         loaded = _tokenizer(vocabulary)[0]
@@ -122,6 +124,7 @@ def _through_words(docs: DataFrame, vocabulary: str, buckets: int | None, digest
                         known[w] = np.array(e.ids, np.int32).tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([bucket], pa.int32()), pa.array([_packed([known[w] for w in own])])], ["block", "bucket", "words"])
 
+    @tidy
     def placed(batches):
         """A row for each block: its documents as positions of words."""
         for key, own, block in _blocks(batches):
@@ -160,6 +163,8 @@ def _through_words(docs: DataFrame, vocabulary: str, buckets: int | None, digest
         else:
             columns = [pa.array([np.fromstring(x, np.int32, sep=" ") if x else [] for x in numbers], pa.list_(pa.int32())), pa.array(pieces, pa.string())]
         out = pa.table([pa.array(doc, pa.int64()), *columns], names=["doc_id", *names])
+        del found, ids, texts, numbers, pieces
+        give_back()
         return pa.concat_tables([out] * documents.num_rows)
 
     names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"]

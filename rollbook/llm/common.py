@@ -6,16 +6,19 @@ executors and reruns.  Blocks bound the memory of the numpy passes.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[str, np.ndarray] = {}
 
@@ -32,6 +35,61 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A batch function that gives a task's memory back, as Python workers outlive their tasks."""
+
+    @wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    """Returns free memory to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+_ZSTD = pa.Codec("zstd", 1)
+
+
+def short(raw: bytes) -> bytes:
+    """Compressed, with the length in front."""
+    return len(raw).to_bytes(4, "little") + (_ZSTD.compress(raw, asbytes=True) if raw else b"")
+
+
+def unshort(packed) -> bytes:
+    """The bytes that ``short`` was given."""
+    n = int.from_bytes(memoryview(packed)[:4], "little")
+    return _ZSTD.decompress(memoryview(packed)[4:], n, asbytes=True) if n else b""
+
+
+def beside(docs: DataFrame, rows: DataFrame, how: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Documents (doc_id, key, the columns ``keep``, text compressed as packed) joined with rows by number and key.
+
+    Null numbers are equal.  Compressed texts make the shuffle smaller; a null
+    text stays null.
+    """
+
+    @tidy
+    def pack(batches):
+        for batch in batches:
+            texts = pa.array([short(x.as_buffer().to_pybytes()) if x.is_valid else None for x in batch.column(0)], pa.binary())
+            yield pa.RecordBatch.from_arrays([texts, *batch.columns[1:]], ["packed", "doc_id", "key", *keep])
+
+    chosen = docs.select("text", "doc_id", "key", *keep)
+    schema = StructType([StructField("packed", BinaryType()), *chosen.schema.fields[1:]])
+    rows = rows.withColumnsRenamed({"doc_id": "its_id", "key": "its_key"})
+    return chosen.mapInArrow(pack, schema).join(rows, F.col("doc_id").eqNullSafe(F.col("its_id")) & F.col("key").eqNullSafe(F.col("its_key")), how)
+
+
 def text_key() -> Column:
     """128 bits of a text, null as its own value, from two seeded hashes."""
     return F.concat(F.hex(F.xxhash64(F.col("text"))), F.hex(F.xxhash64(F.lit(7), F.col("text"))))

@@ -13,18 +13,20 @@ code point; repeated rows give equal rows.  Other columns are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 #: The tables are learned from at most so many labelled documents of each language, least hash first.
-SAMPLE = 600
-LONGEST = 5
+SAMPLE = 400
+LONGEST = 4
 _WORD = re.compile(r"[^\W\d_]+")
-_CACHE = 300_000
+_CACHE = 200_000
 
 
 def words(text: str) -> list[str]:
@@ -33,41 +35,48 @@ def words(text: str) -> list[str]:
 
 
 class Model:
-    """Per-language log posteriors of words and of n-grams of 1 to ``LONGEST`` letters."""
+    """Per-language log posteriors of words and of n-grams of 1 to ``LONGEST`` letters, one row each."""
 
     def __init__(self, counts: dict[tuple[str, str], int]):
         self.langs = sorted({lang for lang, _ in counts})
         at = {x: i for i, x in enumerate(self.langs)}
-        known: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(at)))
-        grams: list[dict[str, np.ndarray]] = [defaultdict(lambda: np.zeros(len(at))) for _ in range(LONGEST)]
-        for (lang, word), n in counts.items():
-            known[word][at[lang]] += n
-            padded = f"^{word}$"
-            for size in range(1, LONGEST + 1):
-                for i in range(len(padded) - size + 1):
-                    grams[size - 1][padded[i : i + size]][at[lang]] += n
-        self.words = self._posteriors({w: c for w, c in known.items() if c.sum() > 1})
-        self.grams = [self._posteriors(g) for g in grams]
-
-    @staticmethod
-    def _posteriors(table: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        if not table:
-            return {}
-        counts = np.stack(list(table.values()))
-        p = (counts + 0.1) / (counts.sum(0) + 0.1 * len(counts))
-        return dict(zip(table, np.log(p / p.sum(1, keepdims=True)).astype(np.float32), strict=True))
+        self.words, self.word_rows = self._posteriors(((w, at[lang], n) for (lang, w), n in counts.items()), least=2)
+        self.grams, self.gram_rows = self._posteriors(((g, at[lang], n) for (lang, w), n in counts.items() for g in _grams(w)), least=1)
+
+    def _posteriors(self, counted, least: int) -> tuple[dict[str, int], np.ndarray]:
+        """Row numbers and rows of the keys seen ``least`` times."""
+        found: Counter = Counter()
+        for key, lang, n in counted:
+            found[key, lang] += n
+        total: Counter = Counter()
+        for (key, _), n in found.items():
+            total[key] += n
+        rows = {k: i for i, k in enumerate(sorted(k for k, n in total.items() if n >= least))}
+        counts = np.zeros((len(rows), max(len(self.langs), 1)))
+        for (key, lang), n in found.items():
+            if key in rows:
+                counts[rows[key], lang] = n
+        p = (counts + 0.1) / (counts.sum(0) + 0.1 * max(len(rows), 1))
+        return rows, np.log(p / p.sum(1, keepdims=True)).astype(np.float32)
 
     def word(self, word: str) -> np.ndarray:
         """Log posterior of one word."""
-        if (found := self.words.get(word)) is not None:
-            return found
-        padded, total = f"^{word}$", np.zeros(len(self.langs), np.float32)
+        if (row := self.words.get(word)) is not None:
+            return self.word_rows[row]
+        padded, rows = f"^{word}$", []
         for i in range(len(padded)):
             for size in range(min(LONGEST, len(padded) - i), 0, -1):
-                if (found := self.grams[size - 1].get(padded[i : i + size])) is not None:
-                    total += found
+                if (row := self.grams.get(padded[i : i + size])) is not None:
+                    rows.append(row)
                     break
-        return total / len(padded)
+        return self.gram_rows[rows].sum(0) / len(padded)
+
+
+def _grams(word: str):
+    padded = f"^{word}$"
+    for size in range(1, LONGEST + 1):
+        for i in range(len(padded) - size + 1):
+            yield padded[i : i + size]
 
 
 def learn(docs: DataFrame, may_learn: Column, sample: int = SAMPLE) -> Model:
@@ -82,6 +91,7 @@ def learn(docs: DataFrame, may_learn: Column, sample: int = SAMPLE) -> Model:
     first = first.withColumn("_n", F.row_number().over(whole)).where(F.col("_n") <= sample).select("doc_id").distinct()
     text = docs.where(may_learn & F.col("lang").isNotNull()).join(F.broadcast(first), "doc_id").select("lang", "text")
 
+    @tidy
     def run(batches):
         for batch in batches:
             found: Counter = Counter()
@@ -102,6 +112,7 @@ def identify(docs: DataFrame, model: Model, extra: tuple[str, ...] = ()) -> Data
     chosen = docs.select("doc_id", F.col("text").cast("string").alias("text"), *extra)
     schema = docs.select("doc_id", *extra).schema.add("lang_pred", "string").add("score", "double")
 
+    @tidy
     def run(batches):
         model = shared.value
         rows: dict[str, int] = {}

@@ -21,8 +21,12 @@ as positions differ; columns beside ``doc_id`` and ``text`` pass through.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+from .common import beside, tidy, unshort
 
 MIN_CHARS = 24
 
@@ -53,13 +57,27 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     keyed = hashed.select("*", *[F.col("halves")[i].alias(f"half{i}") for i in range(4)]).drop("halves")
     distinct = keyed.groupBy("h1", "h2").agg(F.min(_position()).alias("first"), F.count("*").alias("n"), *[F.first(f"half{i}").alias(f"half{i}") for i in range(4)])
 
-    halves = distinct.select("h1", "h2", "first", F.explode(F.array(*[F.col(f"half{i}") for i in range(4)])).alias("half"))
+    # By the first hash alone: an accident there only adds a candidate.
+    halves = distinct.select("h1", F.explode(F.array(*[F.col(f"half{i}") for i in range(4)])).alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("with")).where("with > 1").select("half")
-    candidates = halves.join(shared, "half", "left_semi").select("h1", "h2", "first").distinct()
-    wanted = candidates.groupBy(F.col("first.doc_id").alias("its_id"), F.col("first.key").alias("its_key")).agg(F.collect_list(F.struct("first.no", "h1", "h2", "first")).alias("wanted"))
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("key") == F.col("its_key")))
-    texts = texts.select(F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("w"))
-    texts = texts.select("w.h1", "w.h2", "w.first", F.element_at("lines", F.col("w.no") + 1).alias("line"))
+    candidates = halves.join(shared, "half", "left_semi").select("h1").distinct()
+    first_rows = distinct.select("h1", "h2", "first").join(candidates, "h1", "left_semi")
+    wanted = first_rows.groupBy("first.doc_id", "first.key").agg(F.collect_list(F.struct("h1", "h2", "first")).alias("wanted"))
+
+    @tidy
+    def fetch(batches):
+        for batch in batches:
+            rows, lines_ = [], []
+            for packed, wanted_ in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                own = unshort(packed.as_buffer()).decode().split("\n")
+                rows += wanted_
+                lines_ += [own[w["first"]["no"]] for w in wanted_]
+            found = pa.array(rows, batch.schema.field(1).type.value_type)
+            yield pa.RecordBatch.from_arrays([*found.flatten(), pa.array(lines_, pa.string())], ["h1", "h2", "first", "line"])
+
+    schema = StructType([*first_rows.schema.fields, StructField("line", StringType())])
+    texts = beside(docs, wanted, "inner").select("packed", "wanted").mapInArrow(fetch, schema)
+    # Equal rows of the input bring a line twice.
     texts = texts.groupBy("h1", "h2", "first").agg(F.max("line").alias("line"))
 
     at = F.sequence(F.lit(0), F.length("line") - 1)
@@ -84,16 +102,27 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with each text's later lines removed, and n_lines, n_removed.
+    """n_lines, n_removed, left (the text without the lines that go) and held: the other columns, as one struct.
 
-    A helper column ``key`` of the input would clash, so others are set aside
-    in one struct on the way.
+    The struct keeps columns whose names clash with the operator's own.
     """
-    held = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.struct(*docs.columns).alias("held"))
+    others = [F.col(c) for c in docs.columns if c != "text"]
+    held = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.struct(*others).alias("held"))
     held = held.withColumn("key", F.xxhash64("text"))
     gone = removed_lines(held.select("doc_id", "key", "text"), min_chars)
-    gone = gone.select(F.col("doc_id").alias("its_id"), F.col("key").alias("its_key"), "gone")
-    out = held.join(gone, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("key") == F.col("its_key")), "left")
-    lines = F.split("text", "\n", -1)
-    left = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("gone", i)), "\n"))
-    return out.select("held", F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed"), left.alias("left"))
+
+    @tidy
+    def cleared(batches):
+        for batch in batches:
+            counts, removed, left = [], [], []
+            for packed, gone_ in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                text = unshort(packed.as_buffer()).decode() if packed.is_valid else None
+                drop = set(gone_ or ())
+                counts.append(0 if text is None else text.count("\n") + 1)
+                removed.append(len(drop))
+                left.append(text if not drop else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in drop))
+            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(counts, pa.int32()), pa.array(removed, pa.int32()), pa.array(left, pa.string())], ["held", "n_lines", "n_removed", "left"])
+
+    joined = beside(held, gone, "left", ("held",)).select("packed", "gone", "held")
+    schema = StructType([joined.schema["held"], *(StructField(n, IntegerType()) for n in ("n_lines", "n_removed")), StructField("left", StringType())])
+    return joined.mapInArrow(cleared, schema)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hasher, cut, mix, string_blocks, text_key, word_ranges
+from .common import Hasher, cut, mix, string_blocks, text_key, tidy, word_ranges
 from .graph import components
 
 SHINGLE = 5
@@ -38,6 +38,8 @@ BUCKET = 1024
 #: Of 16 samples, as many must agree before a pair is verified; at similarity 0.8 fewer do once in 4,000 pairs.
 AGREE = 7
 PARTNERS = 3
+#: Distinct words whose counts a task holds before it passes them on.
+COUNTED = 1_000_000
 _K = BANDS * ROWS
 _LOG = -np.log((np.arange(65536) + 0.5) / 65536)
 
@@ -111,18 +113,31 @@ def word_idf(docs: DataFrame, common: float = COMMON) -> tuple[np.ndarray, np.nd
 
     Document counts are summed in blocks before the shuffle.
     """
-    chunk = 32 << 20
 
+    def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        words = np.concatenate([p[0] for p in parts])
+        own, at = np.unique(words, return_inverse=True)
+        return own, np.bincount(at, np.concatenate([p[1] for p in parts]), len(own)).astype(np.int64)
+
+    @tidy
     def counts(batches):
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            for first, end, data, offsets in string_blocks(batch.column(0), chunk):
+            for _, _, data, offsets in string_blocks(batch.column(0)):
                 starts, ends, text = word_ranges(data, offsets)
                 hashes = Hasher(data).ranges(starts, ends)
                 order = np.argsort(hashes, kind="stable")
                 h, t = hashes[order], text[order]
                 new = np.append(True, (h[1:] != h[:-1]) | (t[1:] != t[:-1])) if len(h) else np.zeros(0, bool)
-                words, n = np.unique(h[new], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
+                parts.append(np.unique(h[new], return_counts=True))
+                if sum(len(p[0]) for p in parts) > COUNTED:
+                    parts = [summed(parts)]
+                    if len(parts[0][0]) > COUNTED // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(parts[0][0].view(np.int64)), pa.array(parts[0][1])], ["word", "n"])
+                        parts = []
+        if parts:
+            words, n = summed(parts)
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
 
     total = docs.count()
     df = docs.select("text").mapInArrow(counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -197,6 +212,7 @@ def links(texts: DataFrame, idf: tuple[np.ndarray, np.ndarray, float], least: fl
     """(a, b, similarity) between different texts of (doc_id, t, text); ``t`` is the text's key."""
     shared = texts.sparkSession.sparkContext.broadcast(idf)
 
+    @tidy
     def sample(batches):
         for batch in batches:
             keys = batch.column(0)
@@ -222,6 +238,7 @@ def links(texts: DataFrame, idf: tuple[np.ndarray, np.ndarray, float], least: fl
             out += [(value[a:b], weight[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return out
 
+    @tidy
     def verify(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 256):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hasher, counted, mix, string_blocks, word_ranges
+from .common import Hasher, counted, mix, string_blocks, tidy, word_ranges
 
 #: Training reads at most so many labelled documents, least hash first.
 SAMPLE = 4000
@@ -186,6 +186,7 @@ def statistics(docs: DataFrame, model: Trees | None = None, min_words: int = 20,
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, score double, "
     schema += ", ".join(f"{x} double" for x in FEATURES)
 
+    @tidy
     def run(batches):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)

@@ -32,38 +32,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hasher, cut, string_blocks
+from .common import Hasher, beside, cut, give_back, short, string_blocks, tidy, unshort
 
 LENGTH = 400
 GRAM = 64
 BLOCK_SEGMENTS = 512
 _PLACE = 26
 _BITS = 12
-_ZSTD = pa.Codec("zstd", 1)
-
-
-def _short(raw: bytes) -> bytes:
-    """Compressed, with the length in front."""
-    return len(raw).to_bytes(4, "little") + (_ZSTD.compress(raw, asbytes=True) if raw else b"")
-
-
-def _raw(short) -> bytes:
-    n = int.from_bytes(memoryview(short)[:4], "little")
-    return _ZSTD.decompress(memoryview(short)[4:], n, asbytes=True) if n else b""
-
-
-def _beside(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-    """Documents with compressed texts (packed), joined with rows by number and key, null equal to null."""
-
-    def pack(batches):
-        for batch in batches:
-            texts = pa.array([_short(x.as_buffer().to_pybytes()) for x in batch.column(2)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], ["doc_id", "key", "packed"])
-
-    packed = docs.select("doc_id", "key", "text").mapInArrow(pack, "doc_id long, key long, packed binary")
-    rows = rows.withColumnsRenamed({"doc_id": "its_id", "key": "its_key"})
-    return packed.join(rows, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("key") == F.col("its_key")), how)
-
 
 def _window_min(values: np.ndarray, width: int) -> np.ndarray:
     """Least value of each window, by prefix and suffix minima of blocks."""
@@ -156,6 +131,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     all of them.
     """
 
+    @tidy
     def anchored(batches):
         for batch in batches:
             ids, keys = batch.column(0), batch.column(1)
@@ -186,6 +162,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     place = first + F.shiftright("at", _BITS).bitwiseAND((1 << _BITS) - 1)
     grouped = wanted.groupBy("doc_id", "key").agg(F.collect_list(F.struct("anchor", "m", place.alias("place"), first.alias("first"), last.alias("last"))).alias("wanted"))
 
+    @tidy
     def fetch(batches):
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         before = None
@@ -195,14 +172,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                 doc, key = doc.as_py(), key.as_py()
                 if (doc, key) == before:
                     continue  # a row of equal number and text, whose windows are repeated anyway
-                before, raw = (doc, key), _raw(text.as_buffer())
+                before, raw = (doc, key), unshort(text.as_buffer())
                 for r in rows.as_py():
-                    for k, v in (("doc_id", doc), ("key", key), ("bytes", _short(raw[r["first"] : r["last"] + length])), *r.items()):
+                    for k, v in (("doc_id", doc), ("key", key), ("bytes", short(raw[r["first"] : r["last"] + length])), *r.items()):
                         out[k].append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in zip(out, kinds, strict=True)], list(out))
 
     schema = "doc_id long, key long, anchor long, m long, place long, first long, last long, bytes binary"
-    blocks = cut(_beside(docs, grouped, "inner").select("doc_id", "key", "packed", "wanted").mapInArrow(fetch, schema))
+    blocks = cut(beside(docs, grouped, "inner").select("doc_id", "key", "packed", "wanted").mapInArrow(fetch, schema))
     matched = [_solved(blocks.where(F.col("m") <= BLOCK_SEGMENTS).withColumnRenamed("anchor", "block"), length)]
     large = blocks.where(F.col("m") > BLOCK_SEGMENTS)
     if not large.isEmpty():
@@ -230,7 +207,7 @@ def _solved(rows: DataFrame, length: int) -> DataFrame:
         table = table.sort_by([("doc_id", "ascending"), ("key", "ascending"), ("first", "ascending")])
         out: dict[str, list] = {"doc_id": [], "key": [], "first": [], "last": [], "earlier": []}
         docs, keys, begins = (table.column(x).to_pylist() for x in ("doc_id", "key", "first"))
-        segments = [_raw(x) for x in table.column("bytes").to_pylist()]
+        segments = [unshort(x) for x in table.column("bytes").to_pylist()]
         # A row that comes twice (equal number, text and place) must not match itself.
         same = [i for i in range(1, len(docs)) if (docs[i], keys[i], begins[i], segments[i]) == (docs[i - 1], keys[i - 1], begins[i - 1], segments[i - 1])]
         for i in reversed(same):
@@ -262,7 +239,7 @@ def _halved(rows: DataFrame, length: int) -> list[DataFrame]:
                 cols = {k: batch.column(k).to_pylist() for k in ("doc_id", "key", "anchor", "place", "first", "last", "bytes", "low", "path")}
                 out: dict[str, list] = {k: [] for k in ("doc_id", "key", "anchor", "place", "first", "last", "bytes", "low", "path", "segment")}
                 for doc, key, anchor, place, first, last, raw, low, path in zip(*cols.values(), strict=True):
-                    raw = _raw(raw)
+                    raw = unshort(raw)
                     for a in (low, low + width):
                         # Windows whose anchor stands a .. a + width - 1 behind their start.
                         lo, hi = max(first, place - a - width + 1), min(last, place - a)
@@ -274,7 +251,7 @@ def _halved(rows: DataFrame, length: int) -> list[DataFrame]:
                         own = xxhash.xxh3_64_intdigest(shared + path.to_bytes(8, "little", signed=True) + a.to_bytes(4, "little"))
                         own -= (own >> 63) << 64
                         digest = xxhash.xxh3_128_digest(part + (place - lo).to_bytes(4, "little"))
-                        for k, v in zip(out, (doc, key, anchor, place, lo, hi, _short(part), a, own, digest), strict=True):
+                        for k, v in zip(out, (doc, key, anchor, place, lo, hi, short(part), a, own, digest), strict=True):
                             out[k].append(v)
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], list(out))
@@ -308,13 +285,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
     if keep_first:
         spans = spans.where("earlier")
     spans = spans.groupBy("doc_id", "key").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
-    joined = _beside(keyed, spans, "left").select("doc_id", "packed", "spans")
+    joined = beside(keyed, spans, "left").select("doc_id", "packed", "spans")
 
+    @tidy
     def kept(batches):
         for batch in batches:
             out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept")}
             for text, spans in zip(batch.column(1), batch.column(2), strict=True):
-                raw = _raw(text.as_buffer())
+                raw = unshort(text.as_buffer())
                 runs: list[list[int]] = []
                 for s in sorted((x["first"], x["last"] + length) for x in spans.as_py() or ()):
                     if runs and s[0] <= runs[-1][1]:
