@@ -47,10 +47,10 @@ def near_deduped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: its taken words by its size, rounded."""
+    """Each document as often as the mix takes it: its taken words by its size, rounded; one without words not at all."""
     keyed = docs.select(F.struct(*docs.columns).alias("held"), "doc_id", F.xxhash64("doc_id", "text", "source").alias("__k"), "text", "source")
     taken = mixing.mix_sources(keyed, key=("__k",)).groupBy(F.col("doc_id").alias("its_id"), F.col("__k").alias("its_k"))
-    taken = taken.agg(F.round(F.avg(F.col("taken") / F.col("size"))).cast("int").alias("times")).where("times > 0")
+    taken = taken.agg(F.round(F.avg(F.try_divide("taken", "size"))).cast("int").alias("times")).where("times > 0")
     out = keyed.join(taken, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("__k") == F.col("its_k")))
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select("held.*")
 
