@@ -10,9 +10,13 @@ are compared by their samples, and a maximum spanning tree of the likely ones
 with each text's best partners is verified by weighted Jaccard similarity on
 whole texts.  Verified links make classes.
 
-A key shared by more than ``BUCKET`` texts is refined by the keys of further
-bands until its groups are small or all samples are equal; these are
-chained.  Pairs within a group are never emitted, links grow with the texts.
+A key shared by more than ``BUCKET`` texts is dealt by hash to parts of that
+size, each with the same ``LEADERS`` texts of the key, which hold the parts'
+classes together; pairs of such keys of a text make further keys, which bring
+texts of one hot key that agree in two bands together.  Within a key, trees and
+partners are chosen by a sketch of ``SLOTS`` least shingles.  Texts with equal
+samples and sketches meet two of ``HEADS`` that stand for them.  Pairs within a group are
+never emitted: a text has at most 36 keys and links grow with the texts.
 
 Defined cases: texts without words (null, empty) are classes of their own;
 texts of one to four words are one shingle; repeated rows belong to one class
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,10 +39,15 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 8, 2
 COMMON = 0.01
-BUCKET = 1024
+BUCKET = 512
+#: Texts of a larger key that all of its parts hold, and texts that stand for any number with equal samples.
+LEADERS = 32
+HEADS = 64
 #: Of 16 samples, as many must agree before a pair is verified; at similarity 0.8 fewer do once in 4,000 pairs.
 AGREE = 7
-PARTNERS = 3
+PARTNERS = 6
+#: Slots of a text's sketch, a byte each.  Sixteen samples alone rank partners too coarsely where a key holds many similar texts.
+SLOTS = 128
 #: Distinct words whose counts a task holds before it passes them on.
 COUNTED = 1_000_000
 _K = BANDS * ROWS
@@ -100,6 +110,16 @@ def samples(text: np.ndarray, value: np.ndarray, weight: np.ndarray) -> tuple[np
     return text[at], out
 
 
+def sketches(text: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """A row of ``SLOTS`` bytes for each text: of each slot's least shingle, which is its first, a byte that is never 0."""
+    own = np.cumsum(np.append(False, text[1:] != text[:-1]))
+    out = np.zeros((int(own[-1]) + 1 if len(own) else 0, SLOTS), np.uint8)
+    slot = (value % np.uint64(SLOTS)).astype(np.int64)
+    _, first = np.unique(own * SLOTS + slot, return_index=True)
+    out[own[first], slot[first]] = (value[first] >> np.uint64(16)) % np.uint64(255) + np.uint64(1)
+    return out
+
+
 def similarity(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of two (sorted shingles, weights)."""
     _, a, b = np.intersect1d(one[0], two[0], assume_unique=True, return_indices=True)
@@ -148,60 +168,87 @@ def word_idf(docs: DataFrame, common: float = COMMON) -> tuple[np.ndarray, np.nd
     return hashes[order], idf[order], 1 + float(np.log10(1 / common))
 
 
-def _pairs(keys: np.ndarray, own: np.ndarray) -> set[tuple[int, int]]:
-    """Likely pairs of rows with equal keys: spanning trees and best partners by agreement of samples."""
+def _pairs(keys: np.ndarray, own: np.ndarray, sketch: np.ndarray) -> set[tuple[int, int]]:
+    """Likely pairs of rows with equal keys: spanning trees and best partners by agreement of sketches, among those whose samples agree."""
     out: set[tuple[int, int]] = set()
     cuts = np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), len(keys))
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        part = own[a:b]
+        part, marks = own[a:b], sketch[a:b]
         best, link = np.zeros(b - a, np.int64), np.full(b - a, -1)
         inside = np.zeros(b - a, bool)
         for _ in range(b - a):
             free = np.where(inside, -1, best)
             i = int(np.argmax(free))
-            if link[i] >= 0 and best[i] >= AGREE:
+            if link[i] >= 0:
                 out.add((a + min(i, link[i]), a + max(i, int(link[i]))))
             inside[i] = True
-            agree = (part == part[i]).sum(1)
-            agree[i] = -1
+            likely = (part == part[i]).sum(1) >= AGREE
+            likely[i] = False
+            agree = np.where(likely, 1 + (marks == marks[i]).sum(1), 0)
             better = ~inside & (agree > best)
             best[better], link[better] = agree[better], i
             if b - a > 2:
                 top = np.argpartition(-agree, min(PARTNERS, b - a - 1))[:PARTNERS]
-                out.update((a + min(i, int(j)), a + max(i, int(j))) for j in top if agree[j] >= AGREE)
+                out.update((a + min(i, int(j)), a + max(i, int(j))) for j in top if agree[j])
     return out
 
 
+def _heads(sampled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(t, samples) of texts that stand for those with equal samples, and (a, b) of the others with two that stand for them.
+
+    Texts of equal samples are dealt to ``HEADS`` slots with one head each, so a few equals all stand for themselves.
+    """
+    slot = F.pmod(F.xxhash64(F.lit(13), "t"), F.lit(HEADS))
+    dealt = sampled.withColumn("slot", slot)
+    heads = cut(dealt.groupBy("samples", "slot").agg(F.min("t").alias("head"), F.count("*").alias("n")))
+    crowded = heads.groupBy("samples").agg(F.sum("n").alias("texts"), F.count("*").alias("slots"), F.sort_array(F.collect_list("head")).alias("all")).where("texts > slots")
+    # The next head is that of another slot, if there is one.
+    ends = crowded.select("samples", F.explode("all").alias("head"), "all").withColumn("next", F.element_at("all", (F.array_position("all", F.col("head")) % F.size("all") + 1).cast("int")))
+    ends = heads.where("n > 1").select("samples", "slot", "head").join(ends.select("samples", "head", "next"), ["samples", "head"])
+    met = dealt.select("samples", "slot", "t").join(ends, ["samples", "slot"]).where("t != head").select("t", F.explode(F.array("head", "next")).alias("end"))
+    equal = met.select(F.least("t", "end").alias("a"), F.greatest("t", "end").alias("b"))
+    return heads.select(F.col("head").alias("t"), "samples"), equal
+
+
 def _candidates(sampled: DataFrame) -> DataFrame:
-    """(a, b) of likely pairs of (t, samples as binary)."""
-    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), F.xxhash64(b, F.substring("samples", b * (8 * ROWS) + 1, F.lit(8 * ROWS))).alias("own")))
-    rows = sampled.select("t", F.explode(bands).alias("k")).select("t", "k.band", F.col("k.own").alias("key"))
+    """(a, b) of likely pairs of (t, samples and sketch as binary)."""
+    heads, equal = _heads(sampled)
+    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("samples", b * (8 * ROWS) + 1, F.lit(8 * ROWS))))
+    rows = heads.select("t", F.explode(bands).alias("key"))
 
     def compare(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("key", "ascending"), ("t", "ascending")])
-        own = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint64).reshape(-1, _K)
-        found = sorted(_pairs(table.column("key").to_numpy(), own))
+        table = table.sort_by([("part", "ascending"), ("t", "ascending")]).combine_chunks()
+        if table.num_rows > 1:
+            # A leader is also dealt to a part as one of its texts.
+            same = pc.and_(*(pc.equal(table.column(c).slice(1), table.column(c).slice(0, table.num_rows - 1)) for c in ("part", "t")))
+            table = table.filter(pa.array(np.append(True, ~same.to_numpy())))
+        both = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint8).reshape(-1, 8 * _K + SLOTS)
+        own = np.ascontiguousarray(both[:, : 8 * _K]).view(np.uint64)
+        found = sorted(_pairs(table.column("part").to_numpy(), own, both[:, 8 * _K :]))
         t = table.column("t").combine_chunks()
         return pa.table([t.take(pa.array([x[i] for x in found], pa.int64())) for i in (0, 1)], names=["a", "b"])
 
-    pairs = []
-    while True:
+    pairs = [equal]
+    for last in (False, True):
         counts = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
         met = cut(rows.join(counts, "key"))
-        small = met.where(F.col("n") <= BUCKET)
-        # Several keys share one call, as most hold two texts.
-        calls = max(1, -(-small.count() // (2 * BUCKET)))
-        small = small.join(sampled, "t").select(F.pmod(F.xxhash64("key"), F.lit(calls)).alias("call"), "key", "t", "samples")
-        pairs.append(small.groupBy("call").applyInArrow(compare, "a string, b string").distinct())
         hot = met.where(F.col("n") > BUCKET)
-        if hot.isEmpty():
+        small = met.where(F.col("n") <= BUCKET).join(heads, "t").select(F.col("key").alias("part"), "t", "samples")
+        parts = F.ceil(F.col("n") / BUCKET).cast("int")
+        full = hot.join(heads, "t")
+        dealt = full.select(F.xxhash64("key", F.pmod(F.xxhash64(F.lit(5), "t"), parts)).alias("part"), "t", "samples")
+        led = full.groupBy("key", F.pmod(F.xxhash64("t"), F.lit(LEADERS)).alias("slot")).agg(F.min(F.struct("t", "samples")).alias("r"), F.max("n").alias("n"))
+        led = led.select("key", "r.t", "r.samples", F.explode(F.sequence(F.lit(0), parts - 1)).alias("no"))
+        led = led.select(F.xxhash64("key", F.col("no").cast("long")).alias("part"), "t", "samples")
+        # Several parts share one call, as most hold two texts.
+        calls = max(1, -(-met.count() // (2 * BUCKET)))
+        every = small.unionByName(dealt).unionByName(led).withColumn("call", F.pmod(F.xxhash64(F.lit(9), "part"), F.lit(calls)))
+        pairs.append(every.groupBy("call").applyInArrow(compare, "a string, b string"))
+        if last or hot.isEmpty():
             break
-        # Texts that agree in every sample are chained by their least; others go on with a further band.
-        equal = hot.join(sampled, "t").groupBy("samples").agg(F.min("t").alias("a"), F.count("*").alias("n")).where("n > 1")
-        pairs.append(sampled.join(equal.select("samples", "a"), "samples").where("t != a").select("a", F.col("t").alias("b")))
-        more = F.transform(F.sequence(F.col("band") + 1, F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), F.xxhash64("key", b, F.substring("samples", b * (8 * ROWS) + 1, F.lit(8 * ROWS))).alias("own")))
-        unequal = hot.where(F.col("band") < BANDS - 1).join(sampled, "t").select("t", F.explode(more).alias("k"))
-        rows = unequal.select("t", "k.band", F.col("k.own").alias("key")).distinct()
+        own = hot.groupBy("t").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+        two = F.flatten(F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.lit(BANDS)), lambda y: F.xxhash64(x, y))))
+        rows = own.select("t", F.explode(two).alias("key"))
     out = pairs[0]
     for p in pairs[1:]:
         out = out.unionByName(p)
@@ -220,6 +267,7 @@ def links(texts: DataFrame, idf: tuple[np.ndarray, np.ndarray, float], least: fl
                 text, value, weight = shingles(data, offsets, *shared.value)
                 if len(text):
                     which, own = samples(text, value, weight)
+                    own = np.hstack([own.view(np.uint8), sketches(text, value)])
                     yield pa.RecordBatch.from_arrays([keys.take(pa.array(first + which)), pa.array([x.tobytes() for x in own], pa.binary())], ["t", "samples"])
 
     found = texts.select("t", "text").mapInArrow(sample, "t string, samples binary")

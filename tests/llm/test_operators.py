@@ -289,6 +289,32 @@ def test_near_duplicates(spark, monkeypatch, bucket):
     assert set(kept.values()) == {1}
 
 
+@pytest.mark.parametrize("bucket", [512, 48])
+def test_a_large_family_of_near_copies(spark, monkeypatch, bucket):
+    """Copies of one text whose similarities lie on both sides of the bound; a larger key than a part holds."""
+    monkeypatch.setattr(neardup, "BUCKET", bucket)
+    rng = random.Random(33)
+    base = prose(rng, 120).split()
+    texts = {" ".join(base)}
+    while len(texts) < 300:
+        own = list(base)
+        for _ in range(rng.randrange(1, 5)):
+            own[rng.randrange(len(own))] = f"edit{rng.randrange(9999)}"
+        texts.add(" ".join(own))
+    texts = sorted(texts)
+    docs = table(spark, [(i, t, "x", "a") for i, t in enumerate(texts)])
+    got = {r["doc_id"]: r["class_id"] for r in rows(neardup.near_duplicates(docs))}
+    least = list(range(len(texts)))
+    pairs = sorted(brute_near(texts, neardup.word_idf(docs.select("text"))))
+    for _ in texts:
+        before = list(least)
+        for i, j in pairs:
+            least[i] = least[j] = min(least[i], least[j])
+        if least == before:
+            break
+    assert got == dict(enumerate(least))
+
+
 def test_samples_estimate_similarity():
     rng = random.Random(7)
     base = prose(rng, 3000, words=900).split()
