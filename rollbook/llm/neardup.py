@@ -1,7 +1,8 @@
 """Near duplicates by improved consistent weighted sampling.
 
-A text is the weighted set of its five-word shingles: weight = times in the
-text x idf.  A shingle is no more frequent than its rarest word, so its idf
+A text is the weighted set of its five-word shingles: weight = (1 + ln of the
+times in the text) x idf; with plain times, one phrase repeated hundreds of
+times would make texts alike that share nothing else.  A shingle is no more frequent than its rarest word, so its idf
 is that word's, and idf has a ceiling at one document in a hundred; words
 over this share number at most a hundred times a text's mean count of
 distinct words, which bounds the one broadcast table whatever the input.
@@ -86,7 +87,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, common: np.ndarray, idf: np.
     new[1:] = (value[1:] != value[:-1]) | (text[1:] != text[:-1])
     at = np.flatnonzero(new)
     times = np.diff(np.append(at, len(value)))
-    return text[at], value[at], times * rarest[at]
+    return text[at], value[at], (1 + np.log(times)) * rarest[at]
 
 
 def samples(text: np.ndarray, value: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -315,6 +315,16 @@ def test_a_large_family_of_near_copies(spark, monkeypatch, bucket):
     assert got == dict(enumerate(least))
 
 
+def test_a_repeated_phrase_makes_no_copies(spark):
+    """Texts that share one phrase, repeated hundreds of times, and nothing else; and a near copy of one of them."""
+    rng = random.Random(35)
+    texts = [prose(rng, 80) + " one phrase" * 300 for _ in range(12)]
+    texts.append(texts[5].replace(texts[5].split()[40], "edited", 1))
+    docs = table(spark, [(i, t, "x", "a") for i, t in enumerate(texts)])
+    got = {r["doc_id"]: r["class_id"] for r in rows(neardup.near_duplicates(docs))}
+    assert got == {i: 5 if i == 12 else i for i in range(13)}
+
+
 def test_samples_estimate_similarity():
     rng = random.Random(7)
     base = prose(rng, 3000, words=900).split()
