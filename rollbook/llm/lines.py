@@ -26,13 +26,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from .common import beside, tidy, unshort
+from .common import beside, cut, tidy, unshort
 
 MIN_CHARS = 24
 
 
+def _position_fields() -> list[Column]:
+    return [F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("key"), F.col("no")]
+
+
 def _position() -> Column:
-    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "no")
+    return F.struct(*_position_fields())
 
 
 def _half_keys() -> Column:
@@ -55,13 +59,16 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     lines = lines.withColumn("size", F.length("line")).where(F.col("size") >= min_chars)
     hashed = lines.select("doc_id", "key", "no", "size", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(3), "line").alias("h2"), _half_keys().alias("halves"))
     keyed = hashed.select("*", *[F.col("halves")[i].alias(f"half{i}") for i in range(4)]).drop("halves")
-    distinct = keyed.groupBy("h1", "h2").agg(F.min(_position()).alias("first"), F.count("*").alias("n"), *[F.first(f"half{i}").alias(f"half{i}") for i in range(4)])
+    # All branches below read this with the same columns, n among them, so that they share one exchange.
+    least = F.min(F.struct(*_position_fields(), *[F.col(f"half{i}") for i in range(4)]))
+    distinct = keyed.groupBy("h1", "h2").agg(least.alias("least"), F.count("*").alias("n")).where("n > 0")
+    first = F.struct(*[F.col(f"least.{c}").alias(c) for c in ("no_id", "doc_id", "key", "no")]).alias("first")
 
     # By the first hash alone: an accident there only adds a candidate.
-    halves = distinct.select("h1", F.explode(F.array(*[F.col(f"half{i}") for i in range(4)])).alias("half"))
+    halves = distinct.select("h1", F.explode(F.array(*[F.col(f"least.half{i}") for i in range(4)])).alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("with")).where("with > 1").select("half")
     candidates = halves.join(shared, "half", "left_semi").select("h1").distinct()
-    first_rows = distinct.select("h1", "h2", "first").join(candidates, "h1", "left_semi")
+    first_rows = distinct.select("h1", "h2", first).join(candidates, "h1", "left_semi")
     wanted = first_rows.groupBy("first.doc_id", "first.key").agg(F.collect_list(F.struct("h1", "h2", "first")).alias("wanted"))
 
     @tidy
@@ -79,24 +86,24 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     texts = beside(docs, wanted, "inner").select("packed", "wanted").mapInArrow(fetch, schema)
     # Equal rows of the input bring a line twice.
     texts = texts.groupBy("h1", "h2", "first").agg(F.max("line").alias("line"))
+    # A number that follows the position stands for the line among the variants, which are many; the cut fixes it.
+    texts = cut(texts.orderBy("first").select("h1", "h2", "line", F.monotonically_increasing_id().alias("rank")))
 
     at = F.sequence(F.lit(0), F.length("line") - 1)
     variant = lambda i: F.concat(F.substring("line", F.lit(1), i), F.substring("line", i + 2, F.length("line")))
-    spots = F.transform(at, lambda i: F.struct(F.xxhash64(variant(i)).alias("variant"), i.alias("spot"), F.lit(1).alias("cut")))
-    shorter = F.transform(F.array_distinct(F.transform(at, lambda i: F.xxhash64(variant(i)))), lambda v: F.struct(v.alias("variant"), F.lit(-1).alias("spot"), F.lit(1).alias("cut")))
-    itself = F.array(F.struct(F.xxhash64("line").alias("variant"), F.lit(-1).alias("spot"), F.lit(0).alias("cut")))
-    rows = texts.select("h1", "h2", "first", F.explode(F.concat(spots, shorter, itself)).alias("v")).select("h1", "h2", "first", "v.*")
+    spots = F.transform(at, lambda i: F.struct(F.xxhash64(variant(i), i).alias("variant"), F.lit(True).alias("cut"), F.lit(True).alias("spot")))
+    shorter = F.transform(F.array_distinct(F.transform(at, lambda i: F.xxhash64(variant(i)))), lambda v: F.struct(v.alias("variant"), F.lit(True).alias("cut"), F.lit(False).alias("spot")))
+    itself = F.array(F.struct(F.xxhash64("line").alias("variant"), F.lit(False).alias("cut"), F.lit(False).alias("spot")))
+    rows = texts.select("rank", F.explode(F.concat(spots, shorter, itself)).alias("v")).select("rank", "v.*")
     # Members of a key differ in one character, so the alphabet and the line's length bound a window.
-    place = F.struct("first", "h1", "h2")
-    key = Window.partitionBy("variant", "spot")
-    rows = rows.withColumn("whole", F.min(F.when(F.col("cut") == 0, place)).over(key)).withColumn("cuts", F.min(F.when(F.col("cut") == 1, place)).over(key))
-    partner = F.when((F.col("spot") < 0) & (F.col("cut") == 1), F.col("whole")).otherwise(F.col("cuts"))
-    met = rows.withColumn("partner", partner).where(F.col("partner.first") < F.col("first")).groupBy("h1", "h2", "first").agg(F.collect_set(F.struct("partner.h1", "partner.h2")).alias("partners"))
-    pairs = met.select("h1", "h2", F.explode("partners").alias("p")).select("h1", "h2", F.col("p.h1").alias("p1"), F.col("p.h2").alias("p2"))
-    pairs = pairs.join(texts.select("h1", "h2", "line"), ["h1", "h2"]).join(texts.select(F.col("h1").alias("p1"), F.col("h2").alias("p2"), F.col("line").alias("other")), ["p1", "p2"])
+    key = Window.partitionBy("variant")
+    rows = rows.withColumn("whole", F.min(F.when(~F.col("cut"), F.col("rank"))).over(key)).withColumn("cuts", F.min(F.when(F.col("cut"), F.col("rank"))).over(key))
+    partner = F.when(F.col("cut") & ~F.col("spot"), F.col("whole")).otherwise(F.col("cuts"))
+    pairs = rows.select("rank", partner.alias("partner")).where("partner < rank").distinct()
+    pairs = pairs.join(texts.select("rank", "h1", "h2", "line"), "rank").join(texts.select(F.col("rank").alias("partner"), F.col("line").alias("other")), "partner")
     near = pairs.where(F.levenshtein("line", "other") <= 1).select("h1", "h2").distinct().withColumn("near", F.lit(True))
 
-    known = distinct.select("h1", "h2", "first", "n").join(near, ["h1", "h2"], "left").where("n > 1 or near")
+    known = distinct.select("h1", "h2", first, "n").join(near, ["h1", "h2"], "left").where("n > 1 or near")
     gone = keyed.select("h1", "h2", "doc_id", "key", "no").join(known, ["h1", "h2"]).where(F.coalesce("near", F.lit(False)) | (_position() != F.col("first")))
     return gone.groupBy("doc_id", "key").agg(F.collect_set("no").alias("gone"))
 
