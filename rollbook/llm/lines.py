@@ -21,12 +21,16 @@ as positions differ; columns beside ``doc_id`` and ``text`` pass through.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from .common import beside, cut, tidy, unshort
+from .common import _powers, beside, cut, mix, string_blocks, tidy, unshort
 
 MIN_CHARS = 24
 
@@ -50,6 +54,45 @@ def _half_keys() -> Column:
     return F.array(*keys)
 
 
+@tidy
+def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys (rank, variant, cut, spot) of lines: each without one character, with and without its place, and the whole.
+
+    Prefix sums give all hashes of a block in one pass.  Deletions within a run
+    of one character are equal, so the run's first stands for them.
+    """
+    for batch in batches:
+        for i, j in _line_blocks(batch.column(1)):
+            chars = np.frombuffer("".join(batch.column(1).slice(i, j - i).to_pylist()).encode("utf-32-le"), np.uint32)
+            sizes = pc.utf8_length(batch.column(1).slice(i, j - i)).to_numpy(zero_copy_only=False).astype(np.int64)
+            up, down = _powers(len(chars) + 1)
+            prefix = np.zeros(len(chars) + 1, np.uint64)
+            np.cumsum(mix(chars.astype(np.uint64) + np.uint64(1)) * up[: len(chars)], out=prefix[1:])
+            ends = np.cumsum(sizes)
+            line = np.repeat(np.arange(len(sizes)), sizes)
+            start, end, spot = (ends - sizes)[line], ends[line], np.arange(len(chars))
+            without = (prefix[spot] - prefix[start]) + (prefix[end] - prefix[spot + 1]) * down[1]
+            without = _sized(without * down[start], sizes[line] - 1)
+            placed = mix(without ^ mix((spot - start + 1).astype(np.uint64)))
+            whole = _sized((prefix[ends] - prefix[ends - sizes]) * down[ends - sizes], sizes)
+            runs = np.append(True, chars[1:] != chars[:-1]) | (spot == start)
+            rank = batch.column(0).slice(i, j - i).to_numpy()
+            parts = ((line, placed, True, True), (line[runs], without[runs], True, False), (np.arange(len(sizes)), whole, False, False))
+            for own, keys, cut_, spot_ in parts:
+                flags = [pa.array(np.full(len(own), x)) for x in (cut_, spot_)]
+                yield pa.RecordBatch.from_arrays([pa.array(rank[own]), pa.array(keys.view(np.int64)), *flags], ["rank", "variant", "cut", "spot"])
+
+
+def _sized(value: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return mix(value + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def _line_blocks(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first, end) of blocks of whole lines."""
+    for first, end, _, _ in string_blocks(column):
+        yield first, end
+
+
 def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, key, gone): the numbers, from 0, of each document's lines that go.
 
@@ -89,12 +132,7 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     # A number that follows the position stands for the line among the variants, which are many; the cut fixes it.
     texts = cut(texts.orderBy("first").select("h1", "h2", "line", F.monotonically_increasing_id().alias("rank")))
 
-    at = F.sequence(F.lit(0), F.length("line") - 1)
-    variant = lambda i: F.concat(F.substring("line", F.lit(1), i), F.substring("line", i + 2, F.length("line")))
-    spots = F.transform(at, lambda i: F.struct(F.xxhash64(variant(i), i).alias("variant"), F.lit(True).alias("cut"), F.lit(True).alias("spot")))
-    shorter = F.transform(F.array_distinct(F.transform(at, lambda i: F.xxhash64(variant(i)))), lambda v: F.struct(v.alias("variant"), F.lit(True).alias("cut"), F.lit(False).alias("spot")))
-    itself = F.array(F.struct(F.xxhash64("line").alias("variant"), F.lit(False).alias("cut"), F.lit(False).alias("spot")))
-    rows = texts.select("rank", F.explode(F.concat(spots, shorter, itself)).alias("v")).select("rank", "v.*")
+    rows = texts.select("rank", "line").mapInArrow(_variants, "rank long, variant long, cut boolean, spot boolean")
     # Members of a key differ in one character, so the alphabet and the line's length bound a window.
     key = Window.partitionBy("variant")
     rows = rows.withColumn("whole", F.min(F.when(~F.col("cut"), F.col("rank"))).over(key)).withColumn("cuts", F.min(F.when(F.col("cut"), F.col("rank"))).over(key))

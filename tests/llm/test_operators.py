@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rollbook.llm import bpe, graph, images, language, lines, mixing, neardup, quality, queries, substrings, tools, urls
@@ -161,6 +162,22 @@ def test_lines(spark):
 # 4. Tool calls
 
 
+def test_variants_are_equal_where_lines_are():
+    given = ["aabbb añe", "abbb añe", "aabb añe", "aabbx añe", "aabbb añ", "añbbb añe"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(given))), pa.array(given)], ["rank", "line"])
+    keys = defaultdict(set)
+    for out in lines._variants([batch]):
+        for r in out.to_pylist():
+            keys[r["variant"]].add((r["rank"], r["cut"], r["spot"]))
+    want = defaultdict(set)
+    for i, x in enumerate(given):
+        want[x].add((i, False, False))
+        for k in range(len(x)):
+            want[x[:k] + x[k + 1 :]].add((i, True, False))
+            want[k, x[:k] + x[k + 1 :]].add((i, True, True))
+    assert Counter(map(frozenset, keys.values())) == Counter(map(frozenset, want.values()))
+
+
 def test_tools(spark):
     calls = [
         (1, 0, "a", "search", '{"turn": 1, "query": "é"}', []),
