@@ -102,9 +102,9 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     lines = lines.withColumn("size", F.length("line")).where(F.col("size") >= min_chars)
     hashed = lines.select("doc_id", "key", "no", "size", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(3), "line").alias("h2"), _half_keys().alias("halves"))
     keyed = hashed.select("*", *[F.col("halves")[i].alias(f"half{i}") for i in range(4)]).drop("halves")
-    # All branches below read this with the same columns, n among them, so that they share one exchange.
+    # The branches that look for candidates read this with the same columns, so that they share one exchange.
     least = F.min(F.struct(*_position_fields(), *[F.col(f"half{i}") for i in range(4)]))
-    distinct = keyed.groupBy("h1", "h2").agg(least.alias("least"), F.count("*").alias("n")).where("n > 0")
+    distinct = keyed.groupBy("h1", "h2").agg(least.alias("least"))
     first = F.struct(*[F.col(f"least.{c}").alias(c) for c in ("no_id", "doc_id", "key", "no")]).alias("first")
 
     # By the first hash alone: an accident there only adds a candidate.
@@ -141,7 +141,9 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     pairs = pairs.join(texts.select("rank", "h1", "h2", "line"), "rank").join(texts.select(F.col("rank").alias("partner"), F.col("line").alias("other")), "partner")
     near = pairs.where(F.levenshtein("line", "other") <= 1).select("h1", "h2").distinct().withColumn("near", F.lit(True))
 
-    known = distinct.select("h1", "h2", first, "n").join(near, ["h1", "h2"], "left").where("n > 1 or near")
+    # Half-line keys are no longer needed, so they are not shuffled again.
+    counted = keyed.groupBy("h1", "h2").agg(F.min(_position()).alias("first"), F.count("*").alias("n"))
+    known = counted.join(near, ["h1", "h2"], "left").where("n > 1 or near")
     gone = keyed.select("h1", "h2", "doc_id", "key", "no").join(known, ["h1", "h2"]).where(F.coalesce("near", F.lit(False)) | (_position() != F.col("first")))
     return gone.groupBy("doc_id", "key").agg(F.collect_set("no").alias("gone"))
 
