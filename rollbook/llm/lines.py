@@ -13,8 +13,10 @@ and n or n + 1 characters agree on the first n // 2 characters or on the last
 n - n // 2, so a line whose halves no other line of such a length shares has
 none.  This drops no partner.
 
-Defined cases: lines under ``min_chars`` code points (headings, blank lines)
-always stay; a null text has no lines and stays null; repeated rows (number
+Defined cases: the one-edit match is for lines of at least ``min_chars`` code
+points, as short lines make false partners; of shorter lines that have a word
+only equal later copies go, and only if ``short`` is set; lines without a word
+that are under ``min_chars`` always stay; a null text has no lines and stays null; repeated rows (number
 and text equal) are one document and keep the same lines; ties cannot occur,
 as positions differ; columns beside ``doc_id`` and ``text`` pass through.
 """
@@ -33,6 +35,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from .common import _powers, beside, cut, mix, string_blocks, tidy, unshort
 
 MIN_CHARS = 24
+WORD = r"[^\x20\x09-\x0D]"
 
 
 def _position_fields() -> list[Column]:
@@ -93,14 +96,15 @@ def _line_blocks(column: pa.Array) -> Iterator[tuple[int, int]]:
         yield first, end
 
 
-def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
     """(doc_id, key, gone): the numbers, from 0, of each document's lines that go.
 
-    ``docs`` has doc_id, key and text.
+    ``docs`` has doc_id, key and text.  With ``short``, later copies of shorter lines that have a word go too.
     """
     lines = docs.select("doc_id", "key", F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
-    lines = lines.withColumn("size", F.length("line")).where(F.col("size") >= min_chars)
-    hashed = lines.select("doc_id", "key", "no", "size", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(3), "line").alias("h2"), _half_keys().alias("halves"))
+    long = F.col("size") >= min_chars
+    lines = lines.withColumn("size", F.length("line")).where(long | F.col("line").rlike(WORD) if short else long)
+    hashed = lines.select("doc_id", "key", "no", "size", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(3), "line").alias("h2"), F.when(long, _half_keys()).alias("halves"))
     keyed = hashed.select("*", *[F.col("halves")[i].alias(f"half{i}") for i in range(4)]).drop("halves")
     # The branches that look for candidates read this with the same columns, so that they share one exchange.
     least = F.min(F.struct(*_position_fields(), *[F.col(f"half{i}") for i in range(4)]))
@@ -108,7 +112,7 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     first = F.struct(*[F.col(f"least.{c}").alias(c) for c in ("no_id", "doc_id", "key", "no")]).alias("first")
 
     # By the first hash alone: an accident there only adds a candidate.
-    halves = distinct.select("h1", F.explode(F.array(*[F.col(f"least.half{i}") for i in range(4)])).alias("half"))
+    halves = distinct.where("least.half0 is not null").select("h1", F.explode(F.array(*[F.col(f"least.half{i}") for i in range(4)])).alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("with")).where("with > 1").select("half")
     candidates = halves.join(shared, "half", "left_semi").select("h1").distinct()
     first_rows = distinct.select("h1", "h2", first).join(candidates, "h1", "left_semi")
@@ -148,7 +152,7 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return gone.groupBy("doc_id", "key").agg(F.collect_set("no").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
     """n_lines, n_removed, left (the text without the lines that go) and held: the other columns, as one struct.
 
     The struct keeps columns whose names clash with the operator's own.
@@ -156,7 +160,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     others = [F.col(c) for c in docs.columns if c != "text"]
     held = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.struct(*others).alias("held"))
     held = held.withColumn("key", F.xxhash64("text"))
-    gone = removed_lines(held.select("doc_id", "key", "text"), min_chars)
+    gone = removed_lines(held.select("doc_id", "key", "text"), min_chars, short)
 
     @tidy
     def cleared(batches):

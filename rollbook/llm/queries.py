@@ -69,7 +69,7 @@ def op2_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = lines.dedup_lines(_read(spark, sf_dir, "documents"))
+    out = lines.dedup_lines(_read(spark, sf_dir, "documents"), short=True)
     return out.select("held.doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("left", F.lit("")), 256).alias("kept_sha256"))
 
 

@@ -159,6 +159,25 @@ def test_lines(spark):
     assert lines.dedup_lines(table(spark, [])).count() == 0
 
 
+def test_copies_of_short_lines(spark):
+    long = "a line that is long enough for the match within one edit"
+    given = [(1, f"Menu\n\n{long}\nMenu\nMenus", "x", "a"), (2, f"Menu\n \n{long[:-1]}\nHome\n\né", "x", "a"), (3, "Home\né\n\n-", "x", "a"), (None, "Menus\nnew", "x", "a")]
+    got = {r.held.doc_id: (r.n_removed, r.left) for r in lines.dedup_lines(table(spark, given), short=True).collect()}
+    assert got == {1: (1, f"Menu\n\n{long}\nMenus"), 2: (2, " \nHome\n\né"), 3: (2, "\n-"), None: (1, "new")}
+
+
+def test_the_query_removes_short_copies(spark):
+    folder = "/root/testdata/sf0.001"
+    seen, want = set(), {}
+    for r in sorted(spark.read.parquet(f"{folder}/documents.parquet").collect(), key=lambda r: r.doc_id):
+        own = [x for x in (r.text or "").split("\n") if len(x) < 24 and WORD.search(x)]
+        want[r.doc_id] = sum(x in seen or x in own[:i] for i, x in enumerate(own))
+        seen.update(own)
+    long_only = {r.held.doc_id: r.n_removed for r in lines.dedup_lines(spark.read.parquet(f"{folder}/documents.parquet")).collect()}
+    got = {r.doc_id: r.n_removed for r in queries.op3_line_dedup(spark, folder).collect()}
+    assert sum(want.values()) and got == {i: n + want[i] for i, n in long_only.items()}
+
+
 # 4. Tool calls
 
 
