@@ -9,15 +9,20 @@ distinct words, which bounds the one broadcast table whatever the input.
 Equal texts are one node.  16 samples in 8 bands make keys; texts of a key
 are compared by their samples, and a maximum spanning tree of the likely ones
 with each text's best partners is verified by weighted Jaccard similarity on
-whole texts.  Verified links make classes.
+whole texts.  Then every other likely pair of a key whose ends are in different
+components is verified too, so no likely pair that joins two classes is left
+out.  Verified links make classes.
 
 A key shared by more than ``BUCKET`` texts is dealt by hash to parts of that
 size, each with the same ``LEADERS`` texts of the key, which hold the parts'
 classes together; pairs of such keys of a text make further keys, which bring
 texts of one hot key that agree in two bands together.  Within a key, trees and
 partners are chosen by a sketch of ``SLOTS`` least shingles.  Texts with equal
-samples and sketches meet two of ``HEADS`` that stand for them.  Pairs within a group are
-never emitted: a text has at most 36 keys and links grow with the texts.
+samples and sketches meet two of ``HEADS`` that stand for them.  This first
+round only saves work.  The second reads all texts of a key, in tiles of two
+parts if it is shared by more than ``BUCKET``, and leaves out keys within one
+component.  Its pairs grow with the square of a group whose texts are likely
+but not verified near copies of each other.
 
 Defined cases: texts without words (null, empty) are classes of their own;
 texts of one to four words are one shingle; repeated rows belong to one class
@@ -30,7 +35,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Hasher, cut, mix, string_blocks, text_key, tidy, word_ranges
@@ -211,11 +216,52 @@ def _heads(sampled: DataFrame) -> tuple[DataFrame, DataFrame]:
     return heads.select(F.col("head").alias("t"), "samples"), equal
 
 
+def _bands() -> Column:
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("samples", b * (8 * ROWS) + 1, F.lit(8 * ROWS))))
+
+
+def _rest(sampled: DataFrame, roots: DataFrame) -> DataFrame:
+    """(a, b) of all pairs that share a key, whose samples agree and whose components (node, root) differ."""
+    rows = sampled.select("t", F.posexplode(_bands()).alias("band", "key"))
+    known = roots.select(F.col("node").alias("t"), F.xxhash64("root").alias("root"))
+    rows = cut(rows.join(known, "t", "left").withColumn("root", F.coalesce("root", F.xxhash64("t"))))
+    mixed = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key", "n")
+    parts = F.ceil(F.col("n") / BUCKET).cast("long")
+    met = rows.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64(F.lit(5), "t"), parts))
+    met = met.select("*", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("with"))
+    tile = F.xxhash64("key", F.least("own", "with"), F.greatest("own", "with"))
+    met = met.select("t", "band", "root", "own", tile.alias("part"), (F.col("own") == F.col("with")).alias("diagonal"))
+    # A row of a tile off the diagonal meets the other part only.
+    met = cut(met)
+    calls = max(1, -(-met.count() // (2 * BUCKET)))
+    every = met.join(sampled.select("t", F.substring("samples", 1, 8 * _K).alias("samples")), "t").withColumn("call", F.pmod(F.xxhash64(F.lit(9), "part"), F.lit(calls)))
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("part", "ascending"), ("t", "ascending")]).combine_chunks()
+        column = lambda name: table.column(name).to_numpy()
+        part, root, own, band, diagonal = (column(c) for c in ("part", "root", "own", "band", "diagonal"))
+        marks = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint64).reshape(-1, _K)
+        cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
+        one, two = [], []
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            for i in range(a, b - 1):
+                others = i + 1 + np.flatnonzero((root[i + 1 : b] != root[i]) & (diagonal[i] | (own[i + 1 : b] != own[i])))
+                same = marks[others] == marks[i]
+                # The first band that both share makes the pair, so that it is made once.
+                first = same.reshape(-1, BANDS, ROWS).all(2).argmax(1)
+                others = others[(same.sum(1) >= AGREE) & (first == band[i])]
+                one.append(np.full(len(others), i))
+                two.append(others)
+        t = table.column("t").combine_chunks()
+        return pa.table([t.take(pa.array(np.concatenate(x) if x else [], pa.int64())) for x in (one, two)], names=["a", "b"])
+
+    return every.groupBy("call").applyInArrow(compare, "a string, b string")
+
+
 def _candidates(sampled: DataFrame) -> DataFrame:
-    """(a, b) of likely pairs of (t, samples and sketch as binary)."""
+    """(a, b) of the first round's likely pairs of (t, samples and sketch as binary)."""
     heads, equal = _heads(sampled)
-    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("samples", b * (8 * ROWS) + 1, F.lit(8 * ROWS))))
-    rows = heads.select("t", F.explode(bands).alias("key"))
+    rows = heads.select("t", F.explode(_bands()).alias("key"))
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.sort_by([("part", "ascending"), ("t", "ascending")]).combine_chunks()
@@ -273,11 +319,6 @@ def links(texts: DataFrame, idf: tuple[np.ndarray, np.ndarray, float], least: fl
 
     found = texts.select("t", "text").mapInArrow(sample, "t string, samples binary")
     sampled = cut(found.groupBy("t").agg(F.max("samples").alias("samples")))
-    pairs = cut(_candidates(sampled))
-    # One row of each text stands for it, so copies don't multiply.
-    ends = pairs.select(F.col("a").alias("t")).unionByName(pairs.select(F.col("b").alias("t"))).distinct()
-    one = texts.join(ends, "t").groupBy("t").agg(F.max("text").alias("text"))
-    both = pairs.join(one.select(F.col("t").alias("a"), F.col("text").alias("text_a")), "a").join(one.select(F.col("t").alias("b"), F.col("text").alias("text_b")), "b")
 
     def weighted(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         out = []
@@ -295,14 +336,25 @@ def links(texts: DataFrame, idf: tuple[np.ndarray, np.ndarray, float], least: fl
                 scores = [similarity(x, y) for x, y in zip(weighted(batch.column(2)), weighted(batch.column(3)), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores)], ["a", "b", "similarity"])
 
-    verified = both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a string, b string, similarity double")
-    return verified.where(F.col("similarity") >= least)
+    def verified(pairs: DataFrame) -> DataFrame:
+        # One row of each text stands for it, so copies don't multiply.
+        ends = pairs.select(F.col("a").alias("t")).unionByName(pairs.select(F.col("b").alias("t"))).distinct()
+        one = texts.join(ends, "t").groupBy("t").agg(F.max("text").alias("text"))
+        both = pairs.join(one.select(F.col("t").alias("a"), F.col("text").alias("text_a")), "a").join(one.select(F.col("t").alias("b"), F.col("text").alias("text_b")), "b")
+        scored = both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a string, b string, similarity double")
+        return scored.where(F.col("similarity") >= least)
+
+    pairs = cut(_candidates(sampled))
+    found = cut(verified(pairs))
+    rest = cut(_rest(sampled, components(found.select("a", "b"))).join(pairs, ["a", "b"], "left_anti"))
+    return found.unionByName(verified(rest))
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """doc_id, t (the text's key), class_id, n_links, kept of every document.
 
-    ``n_links`` counts the verified links of the document's text, ``class_id``
+    ``n_links`` counts the verified links of the document's text, which are
+    not all of its links: pairs within a class are not all tried.  ``class_id``
     is the least number of the class, and the documents that hold it with the
     class's first text are kept.
     """

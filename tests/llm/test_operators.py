@@ -351,6 +351,34 @@ def test_a_large_family_of_near_copies(spark, monkeypatch, bucket):
     assert got == dict(enumerate(least))
 
 
+def brute_classes(texts, pairs):
+    least = list(range(len(texts)))
+    for _ in texts:
+        before = list(least)
+        for i, j in pairs:
+            least[i] = least[j] = min(least[i], least[j])
+        if least == before:
+            break
+    return dict(enumerate(least))
+
+
+def test_pairs_in_a_family_of_one_template(spark, monkeypatch):
+    """Near copies whose keys all come from a template that far more texts share than a part holds."""
+    monkeypatch.setattr(neardup, "BUCKET", 4)
+    monkeypatch.setattr(neardup, "LEADERS", 2)
+    rng = random.Random(37)
+    template = prose(rng, 110)
+    texts = []
+    for i in range(150):
+        own = " ".join(f"own{i}x{k}" for k in range(5))
+        texts += [f"{template} {own}", f"{template} {own} last{i}"]
+    docs = table(spark, [(i, t, "x", "a") for i, t in enumerate(texts)])
+    pairs = sorted(brute_near(texts, neardup.word_idf(docs.select("text"))))
+    want = brute_classes(texts, pairs)
+    assert len(set(want.values())) == 150
+    assert {r["doc_id"]: r["class_id"] for r in rows(neardup.near_duplicates(docs))} == want
+
+
 def test_a_repeated_phrase_makes_no_copies(spark):
     """Texts that share one phrase, repeated hundreds of times, and nothing else; and a near copy of one of them."""
     rng = random.Random(35)
