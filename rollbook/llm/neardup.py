@@ -351,9 +351,9 @@ def links(texts: DataFrame, idf: tuple[np.ndarray, np.ndarray, float], least: fl
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """doc_id, t (the text's key), class_id, n_links, kept of every document.
+    """doc_id, t (the text's key), class_id, n_verified, kept of every document.
 
-    ``n_links`` counts the verified links of the document's text, which are
+    ``n_verified`` counts the verified links of the document's text, which are
     not all of its links: pairs within a class are not all tried.  ``class_id``
     is the least number of the class, and the documents that hold it with the
     class's first text are kept.
@@ -364,15 +364,15 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     nodes = texts.select("doc_id", "t", worded.alias("worded"))
     ends = found.select(F.col("a").alias("t")).unionAll(found.select(F.col("b").alias("t")))
-    degree = ends.groupBy("t").agg(F.count("*").alias("n_links"))
+    degree = ends.groupBy("t").agg(F.count("*").alias("n_verified"))
     roots = components(found).select(F.col("node").alias("t"), "root")
     known = degree.join(roots, "t", "left")
     member = nodes.join(known, "t", "left")
-    member = member.withColumn("root", F.when(F.col("worded"), F.coalesce("root", "t"))).withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+    member = member.withColumn("root", F.when(F.col("worded"), F.coalesce("root", "t"))).withColumn("n_verified", F.coalesce("n_verified", F.lit(0)))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")
     heads = member.where("worded").groupBy("root").agg(F.min(place).alias("head"))
     out = member.join(heads, "root", "left")
     alone = F.col("head").isNull()
     return out.select(
-        "doc_id", "t", F.when(alone, F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("class_id"), "n_links", (alone | (place == F.col("head"))).alias("kept")
+        "doc_id", "t", F.when(alone, F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("class_id"), "n_verified", (alone | (place == F.col("head"))).alias("kept")
     )

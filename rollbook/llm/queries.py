@@ -98,7 +98,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(_read(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "kept")
+    return neardup.near_duplicates(_read(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_verified", "kept")
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

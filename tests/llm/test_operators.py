@@ -379,6 +379,23 @@ def test_pairs_in_a_family_of_one_template(spark, monkeypatch):
     assert {r["doc_id"]: r["class_id"] for r in rows(neardup.near_duplicates(docs))} == want
 
 
+def test_a_link_that_the_sketch_ranks_last(spark):
+    """Two near copies by weight, among thirty texts that share more of their shingles but less of their weight."""
+    rng = random.Random(38)
+    rare, common = [f"rare{i}" for i in range(150)], [f"common{i}" for i in range(44)]
+    shuffled = lambda: " ".join(rng.sample(common, len(common)))
+    ends = [shuffled(), shuffled()]
+    whole = " ".join(rare)
+    less = [" ".join(rare[: 4 + 4 * i] + rare[24 + 4 * i :]) for i in range(30)]
+    texts = [f"{whole} {x}" for x in ends] + [f"{x} {ends[0]} {ends[1]}" for x in less]
+    texts += [shuffled() for _ in range(4000)]
+    docs = table(spark, [(i, t, "x", "a") for i, t in enumerate(texts)])
+    pairs = sorted(brute_near(texts[:32], neardup.word_idf(docs.select("text"))))
+    want = brute_classes(texts, pairs)
+    assert want[1] == 0 and min(want[i] for i in range(2, 32)) == 2
+    assert {r["doc_id"]: r["class_id"] for r in rows(neardup.near_duplicates(docs))} == want
+
+
 def test_a_repeated_phrase_makes_no_copies(spark):
     """Texts that share one phrase, repeated hundreds of times, and nothing else; and a near copy of one of them."""
     rng = random.Random(35)
