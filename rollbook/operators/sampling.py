@@ -12,6 +12,7 @@ from ..functions.lineage import checkpointed
 SHARES = {"warning_unknown": 0.20, "boundary": 0.10, "rare_dense_services": 0.10, "complex_record": 0.10}
 RARE, QUINTILES = 10, 5
 FLAGS = {"warning_unknown": "has_warning_unknown", "boundary": "is_boundary", "rare_dense_services": "is_rare_dense", "complex_record": "is_complex"}
+CHECKS = ("name_check", "address_check", "services_check", "boundary_check")
 GROUPS = ["page_quantile", "source_column", "census_region", "state"]
 _UNIT = r"(?i)\b(?:Suite|Ste|Unit|Room|Floor|Building|Bldg|Apt|#)\b"
 
@@ -59,17 +60,25 @@ def sampling_features(facilities: DataFrame) -> DataFrame:
     }).drop("lo", "hi", "p90", "rare", "codes", "is_twin", "_directory_year", "_state", "_city", "_address1")
 
 
-def sample(features: DataFrame, size: int, seed: int = 0, key: str = "source_anchor_id") -> DataFrame:
-    """``size`` listings per year with their sample_stratum, in order of a seeded hash.
+def _order(seed: int, key: str) -> Column:
+    return F.sha1(F.concat_ws("|", F.lit(str(seed)), "directory_year", F.col(key)))
+
+
+def _group(seed: int) -> Column:
+    return F.sha1(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in GROUPS]))
+
+
+def sample(features: DataFrame, size: int | DataFrame, seed: int = 0, key: str = "source_anchor_id") -> DataFrame:
+    """``size`` listings per year, or (directory_year, size) of years, with their sample_stratum, in order of a seeded hash.
 
     Each stratum goes round its groups (page quintile, column, region, state)
     and takes one listing of each in turn.  A stratum's choice reads only the
     first ``size`` of each group, so what is ranked per year is bounded.
     """
-    hashed = F.sha1(F.concat_ws("|", F.lit(str(seed)), "directory_year", F.col(key)))
-    left = checkpointed(features.withColumn("_h", hashed))
+    sized = features.withColumn("_size", F.lit(size)) if isinstance(size, int) else features.join(F.broadcast(size.withColumnRenamed("size", "_size")), "directory_year")
+    left = checkpointed(sized.withColumn("_h", _order(seed, key)))
     chosen = None
-    for stratum, n in quotas(size).items():
+    for stratum, n in quota_counts(F.col("_size")).items():
         flag = F.col(FLAGS[stratum]) if stratum in FLAGS else F.lit(True)
         taken = F.lit(0) if chosen is None else F.coalesce("_taken", F.lit(0))
         pool = left if chosen is None else left.join(chosen.select(key).distinct(), key, "left_anti")
@@ -77,23 +86,57 @@ def sample(features: DataFrame, size: int, seed: int = 0, key: str = "source_anc
             counts = chosen.groupBy("directory_year").agg(F.count("*").cast("int").alias("_taken"))
             pool = pool.join(F.broadcast(counts), "directory_year", "left")
         within = Window.partitionBy("directory_year", *GROUPS).orderBy("_h")
-        turn = pool.where(flag).withColumn("_n", F.row_number().over(within)).where(F.col("_n") <= size)
-        group = F.sha1(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in GROUPS]))
-        place = Window.partitionBy("directory_year").orderBy("_n", group, "_h")
-        limit = F.lit(size) - taken if stratum == "random" else F.lit(n)
+        turn = pool.where(flag).withColumn("_n", F.row_number().over(within)).where(F.col("_n") <= F.col("_size"))
+        place = Window.partitionBy("directory_year").orderBy("_n", _group(seed), "_h")
+        limit = F.col("_size") - taken if stratum == "random" else n
         turn = turn.withColumn("_p", F.row_number().over(place)).where(F.col("_p") <= limit).withColumn("sample_stratum", F.lit(stratum))
         turn = turn.select(*features.columns, "_h", "sample_stratum")
         chosen = checkpointed(turn if chosen is None else chosen.unionByName(turn))
     return chosen.drop("_h")
 
 
-def expand(reviewed: DataFrame, features: DataFrame, target: int, seed: int = 0, key: str = "source_anchor_id") -> DataFrame:
-    """More listings for years whose review ended short: ``target`` rows a year at most 200, none reviewed before."""
-    fresh = features.join(reviewed.select(key).distinct(), key, "left_anti")
-    have = reviewed.where(F.lower(F.coalesce("review_disposition", F.lit(""))).isin("", "active")).groupBy("directory_year").agg(F.count("*").alias("have"))
-    place = Window.partitionBy("directory_year").orderBy("sample_stratum", key)
-    more = sample(fresh, min(target, 200), seed + 10_000, key).join(F.broadcast(have), "directory_year", "left").withColumn("_p", F.row_number().over(place))
-    return more.where(F.col("_p") <= F.lit(min(target, 200)) - F.coalesce("have", F.lit(0))).drop("_p", "have")
+def disposition() -> Column:
+    """A review's disposition: active unless it says otherwise, replaced if any check is uncertain."""
+    uncertain = [F.lower(F.coalesce(c, F.lit(""))) == "uncertain" for c in CHECKS]
+    given = F.lower(F.coalesce("review_disposition", F.lit("")))
+    return F.when(uncertain[0] | uncertain[1] | uncertain[2] | uncertain[3], "unreviewable_replaced").otherwise(F.when(given == "", "active").otherwise(given))
+
+
+def expand(reviewed: DataFrame, features: DataFrame, target: int | DataFrame, seed: int = 0, key: str = "source_anchor_id", most: int | None = 200) -> DataFrame:
+    """More listings, none reviewed before, for years with fewer active reviews than ``target``, a number or (directory_year, target), at most ``most``.
+
+    An unreviewable review is replaced from its own stratum first, in order of
+    its key, and ``replaces`` names it; a fresh sample fills the rest.
+    """
+    marked = checkpointed(reviewed.withColumn("_d", disposition()).select("directory_year", key, "sample_stratum", "_d"))
+    have = marked.where("_d = 'active'").groupBy("directory_year").agg(F.count("*").alias("have"))
+    years = features.select("directory_year").distinct()
+    wanted = years.withColumn("target", F.lit(target)) if isinstance(target, int) else years.join(target, "directory_year")
+    bound = F.col("target") if most is None else F.least("target", F.lit(most))
+    short = wanted.join(have, "directory_year", "left").select("directory_year", (bound - F.coalesce("have", F.lit(0))).cast("int").alias("size"))
+    short = checkpointed(short.where("size > 0"))
+    fresh = features.join(marked.select(key).distinct(), key, "left_anti").join(F.broadcast(short), "directory_year")
+    fresh = checkpointed(fresh.withColumn("_h", _order(seed + 10_000, key)))
+    stratum_of = F.when(F.col("sample_stratum").isin(*FLAGS), F.col("sample_stratum")).otherwise("random")
+    old = marked.where("_d = 'unreviewable_replaced'").withColumn("_s", stratum_of).withColumn("_p", F.row_number().over(Window.partitionBy("directory_year", "_s").orderBy(key)))
+    old = checkpointed(old.select("directory_year", "_s", "_p", "sample_stratum", F.col(key).alias("replaces")))
+    pairs = None
+    for stratum in [*FLAGS, "random"]:
+        pool = fresh if pairs is None else fresh.join(pairs.select(key), key, "left_anti")
+        pool = pool.where(F.col(FLAGS[stratum]) if stratum in FLAGS else F.lit(True))
+        # No year needs more of a stratum than it needs in all.
+        turn = pool.withColumn("_n", F.row_number().over(Window.partitionBy("directory_year", *GROUPS).orderBy("_h"))).where(F.col("_n") <= F.col("size"))
+        turn = turn.withColumn("_p", F.row_number().over(Window.partitionBy("directory_year").orderBy("_n", _group(seed + 10_000), "_h"))).where(F.col("_p") <= F.col("size"))
+        met = turn.select("directory_year", key, "_p").join(old.where(F.col("_s") == stratum), ["directory_year", "_p"]).select("directory_year", key, "sample_stratum", "replaces")
+        pairs = checkpointed(met if pairs is None else pairs.unionByName(met))
+    pairs = pairs.withColumn("_r", F.row_number().over(Window.partitionBy("directory_year").orderBy("replaces"))).join(F.broadcast(short), "directory_year").where(F.col("_r") <= F.col("size"))
+    pairs = checkpointed(pairs.select(key, "directory_year", "sample_stratum", "replaces"))
+    done = pairs.groupBy("directory_year").agg(F.count("*").cast("int").alias("done"))
+    rest = short.join(done, "directory_year", "left").select("directory_year", (F.col("size") - F.coalesce("done", F.lit(0))).cast("int").alias("size")).where("size > 0")
+    others = fresh.join(pairs.select(key), key, "left_anti").select(*features.columns)
+    more = sample(others, rest, seed + 20_000, key).withColumn("replaces", F.lit(None).cast("string"))
+    replaced = features.join(pairs.select(key, "sample_stratum", F.col("replaces").cast("string").alias("replaces")), key)
+    return replaced.select(more.columns).unionByName(more)
 
 
 def round_robin(frame: pd.DataFrame, n: int, groups: list[str]) -> list:

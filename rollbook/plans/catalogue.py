@@ -332,8 +332,9 @@ def gold_create(p):
 
 @query
 def gold_expand(p):
-    marked = p.reviews.where(F.col("ck") % 64 == 1)
-    return rounded(sampling.expand(marked, features(p), 30, seed=7).select("source_anchor_id", "directory_year", "sample_stratum"))
+    # The derived reviews hold most of a year, so each year is to have as many active ones as it has reviews.
+    target = p.reviews.groupBy("directory_year").agg(F.count("*").cast("int").alias("target"))
+    return rounded(sampling.expand(p.reviews, features(p), target, seed=7, most=None).select("source_anchor_id", "directory_year", "sample_stratum"))
 
 
 def gold_table(p: Panel) -> DataFrame:

@@ -163,3 +163,18 @@ def test_incremental(spark, tmp_path):
         (tmp_path / "in" / f"{i}.csv").write_text(f"listing_id,county_fips\n{rows}\n")
         incremental.follow_answers(spark, str(tmp_path / "in"), "listing_id string, county_fips string", str(tmp_path / "cache"), str(tmp_path / "ck")).awaitTermination()
     assert {(r.listing_id, r.county_fips) for r in incremental.current(spark, str(tmp_path / "cache")).collect()} == {("a", "3"), ("b", "2")}
+
+
+def test_expand_replaces_from_the_same_stratum(spark):
+    flags = list(sampling.FLAGS.values())
+    features = [(f"n{i:02}", 2000, 1 + i % 5, 1, "South", "TX", *(f == "is_boundary" and i < 3 for f in flags)) for i in range(40)]
+    frame = spark.createDataFrame(features, "source_anchor_id string, directory_year int, page_quantile int, source_column int, census_region string, state string, " + ", ".join(f"{f} boolean" for f in flags))
+    old = [("o1", "boundary", "", "Uncertain"), ("o2", "boundary", "", "uncertain"), ("o3", "random", "", "uncertain"), ("o4", "random", "", "yes"), ("o5", "random", "replaced", "yes")]
+    reviewed = spark.createDataFrame([(a, 2000, s, d, "yes", c, "yes", None) for a, s, d, c in old], "source_anchor_id string, directory_year int, sample_stratum string, review_disposition string, name_check string, address_check string, services_check string, boundary_check string")
+    got = {r.source_anchor_id: (r.sample_stratum, r.replaces) for r in sampling.expand(reviewed, frame, 12, seed=3).collect()}
+    assert len(got) == 11 and {r for _, r in got.values() if r} == {"o1", "o2", "o3"}
+    assert all(a in {"n00", "n01", "n02"} for a, (_, r) in got.items() if r in ("o1", "o2"))
+    assert {s for s, r in got.values() if r in ("o1", "o2")} == {"boundary"}
+    few = sampling.expand(reviewed, frame, 3, seed=3).collect()
+    assert [r.replaces for r in sorted(few, key=lambda r: r.replaces)] == ["o1", "o2"]
+    assert sampling.expand(reviewed, frame, 1, seed=3).count() == 0
