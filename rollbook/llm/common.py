@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 BLOCK_BYTES = 1 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
@@ -71,28 +71,47 @@ def unshort(packed) -> bytes:
     return _ZSTD.decompress(memoryview(packed)[4:], n, asbytes=True) if n else b""
 
 
-def beside(docs: DataFrame, rows: DataFrame, how: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Documents (doc_id, key, the columns ``keep``, text compressed as packed) joined with rows by number and key.
-
-    Null numbers are equal.  Compressed texts make the shuffle smaller; a null
-    text stays null.
-    """
+def packed(rows: DataFrame) -> DataFrame:
+    """``text`` compressed as ``packed``, beside the other columns; a null text stays null.  Makes shuffles smaller."""
+    others = [c for c in rows.columns if c != "text"]
 
     @tidy
     def pack(batches):
         for batch in batches:
             texts = pa.array([short(x.as_buffer().to_pybytes()) if x.is_valid else None for x in batch.column(0)], pa.binary())
-            yield pa.RecordBatch.from_arrays([texts, *batch.columns[1:]], ["packed", "doc_id", "key", *keep])
+            yield pa.RecordBatch.from_arrays([texts, *batch.columns[1:]], ["packed", *others])
+
+    chosen = rows.select("text", *others)
+    return chosen.mapInArrow(pack, StructType([StructField("packed", BinaryType()), *chosen.schema.fields[1:]]))
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    """The inverse of ``packed``."""
+    others = [c for c in rows.columns if c != "packed"]
+
+    @tidy
+    def unpack(batches):
+        for batch in batches:
+            texts = pa.array([unshort(x.as_buffer()).decode() if x.is_valid else None for x in batch.column(0)], pa.string())
+            yield pa.RecordBatch.from_arrays([texts, *batch.columns[1:]], ["text", *others])
+
+    chosen = rows.select("packed", *others)
+    return chosen.mapInArrow(unpack, StructType([StructField("text", StringType()), *chosen.schema.fields[1:]]))
+
 
-    chosen = docs.select("text", "doc_id", "key", *keep)
-    schema = StructType([StructField("packed", BinaryType()), *chosen.schema.fields[1:]])
+def beside(docs: DataFrame, rows: DataFrame, how: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Documents (doc_id, key, the columns ``keep``, text compressed as packed) joined with rows by number and key.
+
+    Null numbers are equal.
+    """
     rows = rows.withColumnsRenamed({"doc_id": "its_id", "key": "its_key"})
-    return chosen.mapInArrow(pack, schema).join(rows, F.col("doc_id").eqNullSafe(F.col("its_id")) & F.col("key").eqNullSafe(F.col("its_key")), how)
+    return packed(docs.select("text", "doc_id", "key", *keep)).join(rows, F.col("doc_id").eqNullSafe(F.col("its_id")) & F.col("key").eqNullSafe(F.col("its_key")), how)
 
 
 def text_key() -> Column:
     """128 bits of a text, null as its own value, from two seeded hashes."""
-    return F.concat(F.hex(F.xxhash64(F.col("text"))), F.hex(F.xxhash64(F.lit(7), F.col("text"))))
+    whole = lambda x: F.lpad(F.hex(x), 16, "0")
+    return F.unhex(F.concat(whole(F.xxhash64(F.col("text"))), whole(F.xxhash64(F.lit(7), F.col("text")))))
 
 
 def string_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -1,4 +1,4 @@
-"""Connected components by alternating large and small stars."""
+"""Connected components by alternating large and small stars, and tiles of keys whose nodes are in several components."""
 
 from __future__ import annotations
 
@@ -35,3 +35,30 @@ def components(links: DataFrame) -> DataFrame:
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
+def tiles(rows: DataFrame, bucket: int) -> DataFrame:
+    """Rows of keys with several components, dealt to tiles in which every pair of components meets once.
+
+    ``rows`` has key, node and root.  Adds ``tile``, ``own`` (the row's part)
+    and ``diagonal``: in a tile off the diagonal, only rows of different parts
+    need be compared.  A key of up to ``bucket`` rows is one tile.  In a larger
+    one the nodes outside of its largest component meet each other and that
+    component, whose own nodes don't meet; so a hot key that is one class but
+    for a few nodes costs its rows times the parts of those few.
+    """
+    rows = cut(rows)
+    by_root = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
+    keys = by_root.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1")
+    keys = keys.select("key", "n", F.col("most.n").alias("n_most"), F.col("most.root").alias("major"))
+    met = rows.join(keys, "key")
+    parts = lambda n: F.ceil(n / bucket).cast("long")
+    out, inside = parts(F.col("n") - F.col("n_most")), parts(F.col("n_most"))
+    small, major = F.col("n") <= bucket, F.col("root") == F.col("major")
+    part = F.pmod(F.xxhash64(F.lit(5), "node"), F.when(major, inside).otherwise(out))
+    # Parts of the largest component count down from -1.
+    own = F.when(small, F.lit(0).cast("long")).when(major, -1 - part).otherwise(part)
+    others = F.when(small, F.array(F.lit(0).cast("long"))).when(major, F.sequence(F.lit(0).cast("long"), out - 1)).otherwise(F.sequence(-inside, out - 1))
+    met = met.withColumn("own", own).withColumn("other", F.explode(others))
+    tile = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    return met.withColumn("tile", tile).withColumn("diagonal", F.col("own") == F.col("other")).drop("other", "n", "n_most", "major")

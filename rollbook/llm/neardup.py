@@ -1,114 +1,125 @@
 """Near duplicates by improved consistent weighted sampling.
 
-A text is the weighted set of its five-word shingles: weight = (1 + ln of the
-times in the text) x idf; with plain times, one phrase repeated hundreds of
-times would make texts alike that share nothing else.  A shingle is no more frequent than its rarest word, so its idf
-is that word's, and idf has a ceiling at one document in a hundred; words
-over this share number at most a hundred times a text's mean count of
-distinct words, which bounds the one broadcast table whatever the input.
-Equal texts are one node.  16 samples in 8 bands make keys; texts of a key
-are compared by their samples, and a maximum spanning tree of the likely ones
-with each text's best partners is verified by weighted Jaccard similarity on
-whole texts.  Then every other likely pair of a key whose ends are in different
-components is verified too, so no likely pair that joins two classes is left
-out.  Verified links make classes.
-
-A key shared by more than ``BUCKET`` texts is dealt by hash to parts of that
-size, each with the same ``LEADERS`` texts of the key, which hold the parts'
-classes together; pairs of such keys of a text make further keys, which bring
-texts of one hot key that agree in two bands together.  Within a key, trees and
-partners are chosen by a sketch of ``SLOTS`` least shingles.  Texts with equal
-samples and sketches meet two of ``HEADS`` that stand for them.  This first
-round only saves work.  The second reads all texts of a key, in tiles of two
-parts if it is shared by more than ``BUCKET``, and leaves out keys within one
-component.  Its pairs grow with the square of a group whose texts are likely
-but not verified near copies of each other.
+A text is the weighted set of its five-word shingles, by TF-IDF: weight =
+(1 + ln of the times in the text) x idf.  With plain times, one phrase
+repeated hundreds of times would make texts alike that share nothing else.
+idf = 1 + log10(documents / documents that hold the shingle), with a ceiling
+at one document in a hundred, so only shingles above this share need a count;
+they are found exactly in two passes, as such a shingle also reaches the
+share in some block of documents.  Their table has at most a hundred times a
+document's mean count of shingles, whatever the input.
+
+Equal texts are one node.  16 samples in 8 bands make keys.  In the first
+round each node of a key is verified, by weighted Jaccard similarity on whole
+texts, against the key's least node alone; links make components.  The second
+round reads the keys whose nodes are not yet in one component and verifies
+every pair of different components that can still be a link: at least
+``AGREE`` samples are equal, and the similarities to the key's least node
+differ by at most 1 - ``SIMILARITY`` (1 - similarity is a metric).  So no
+link between classes that shares a key is lost but by ``AGREE``, and a class
+costs one link for each node and key.  A key of over ``BUCKET`` nodes is read
+in tiles: nodes outside of its largest component meet all others, those
+inside only the former.  Tiles grow with the product of the two, so with the
+square of a group whose texts are likely but not verified copies.
 
 Defined cases: texts without words (null, empty) are classes of their own;
-texts of one to four words are one shingle; repeated rows belong to one class
-and are all kept or all removed together with their first, as they can't be
-told apart; the least number stands for its class, null last.
+texts of one to four words are one shingle; very long texts are read whole,
+one at a time; repeated rows belong to one class and are all kept or all
+removed together with their first, as they can't be told apart; the least
+number stands for its class, null last, then the least hash of the text; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hasher, cut, mix, string_blocks, text_key, tidy, word_ranges
-from .graph import components
+from .common import Hasher, beside, cut, mix, string_blocks, text_key, tidy, unshort, word_ranges
+from .graph import components, tiles
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 8, 2
 COMMON = 0.01
+#: Nodes of a key that one tile reads whole.
 BUCKET = 512
-#: Texts of a larger key that all of its parts hold, and texts that stand for any number with equal samples.
-LEADERS = 32
-HEADS = 64
-#: Of 16 samples, as many must agree before a pair is verified; at similarity 0.8 fewer do once in 4,000 pairs.
-AGREE = 7
-PARTNERS = 6
-#: Slots of a text's sketch, a byte each.  Sixteen samples alone rank partners too coarsely where a key holds many similar texts.
-SLOTS = 128
-#: Distinct words whose counts a task holds before it passes them on.
-COUNTED = 1_000_000
+#: Of 16 samples, as many must agree before a pair of the second round is verified; at similarity 0.8 fewer do once in 30,000 pairs.
+AGREE = 6
+#: Documents and shingles of a block whose frequent shingles are candidates, and candidates that are broadcast; more are counted by a shuffle.
+BLOCK_DOCS, BLOCK_SHINGLES, CANDIDATES = 4096, 4_000_000, 1_000_000
 _K = BANDS * ROWS
-_LOG = -np.log((np.arange(65536) + 0.5) / 65536)
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, common: np.ndarray, idf: np.ndarray, ceiling: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, shingle, weight), sorted, each shingle of a text once.
+def _gamma_quantiles() -> np.ndarray:
+    """Gamma(2, 1) at the midpoints of 65,536 equal shares."""
+    share = (np.arange(65536) + 0.5) / 65536
+    x = np.sqrt(2 * share) + share
+    for _ in range(60):
+        x = np.maximum(x - (1 - (1 + x) * np.exp(-x) - share) / np.maximum(x * np.exp(-x), 1e-12) * 0.9, 1e-9)
+    return x
 
-    ``common`` are the sorted hashes of words below the ceiling, ``idf`` theirs.
-    """
+
+_GAMMA = _gamma_quantiles()
+_R, _PER_R, _LOG_C = _GAMMA.astype(np.float32), (1 / _GAMMA).astype(np.float32), np.log(_GAMMA).astype(np.float32)
+
+
+def counted_shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, shingle, times), sorted, each shingle of a text once."""
     starts, ends, text = word_ranges(data, offsets)
     if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     words = Hasher(data).ranges(starts, ends)
-    own = np.full(len(words), ceiling)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, words), len(common) - 1)
-        known = common[at] == words
-        own[known] = idf[at[known]]
     n = np.bincount(text, minlength=len(offsets) - 1)
     first = np.concatenate([[0], np.cumsum(n)[:-1]])
     rank = np.arange(len(words)) - first[text]
     begin = np.flatnonzero((rank + SHINGLE <= n[text]) | ((rank == 0) & (n[text] < SHINGLE)))
-    value, rarest = np.zeros(len(begin), np.uint64), np.zeros(len(begin))
+    value = np.zeros(len(begin), np.uint64)
     for i in range(SHINGLE):
         at = np.minimum(begin + i, len(words) - 1)
-        inside = text[at] == text[begin]
-        inside &= begin + i < len(words)
+        inside = (text[at] == text[begin]) & (begin + i < len(words))
         value = value * np.uint64(0xD1342543DE82EF95) + np.where(inside, words[at], 0).astype(np.uint64)
-        rarest = np.maximum(rarest, np.where(inside, own[at], 0))
     value, text = mix(value), text[begin]
     order = np.lexsort((value, text)) if len(offsets) > 2 else np.argsort(value, kind="stable")
-    value, text, rarest = value[order], text[order], rarest[order]
+    value, text = value[order], text[order]
     new = np.ones(len(value), bool)
     new[1:] = (value[1:] != value[:-1]) | (text[1:] != text[:-1])
     at = np.flatnonzero(new)
-    times = np.diff(np.append(at, len(value)))
-    return text[at], value[at], (1 + np.log(times)) * rarest[at]
+    return text[at], value[at], np.diff(np.append(at, len(value)))
+
+
+def shingles(data: np.ndarray, offsets: np.ndarray, common: np.ndarray, idf: np.ndarray, ceiling: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, shingle, weight), sorted, each shingle of a text once.
+
+    ``common`` are the sorted hashes of shingles below the ceiling, ``idf`` theirs.
+    """
+    text, value, times = counted_shingles(data, offsets)
+    own = np.full(len(value), ceiling)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, value), len(common) - 1)
+        known = common[at] == value
+        own[known] = idf[at[known]]
+    return text, value, (1 + np.log(times)) * own
 
 
 def samples(text: np.ndarray, value: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(texts, their samples): for each text ``_K`` consistent weighted samples as 64-bit keys."""
     at = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
     sizes = np.diff(np.append(at, len(text)))
-    log_weight = np.log(weight)
+    log_weight = np.log(weight).astype(np.float32)
     out = np.zeros((len(at), _K), np.uint64)
     for k in range(_K):
-        bits = mix(value + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)))
-        part = lambda s: ((bits >> np.uint64(s)) & np.uint64(0xFFFF)).astype(np.int64)  # noqa: B023, E731
-        r = _LOG[part(0)] + _LOG[part(16)]
-        c = _LOG[part(32)] + _LOG[part(48)]
-        beta = (mix(bits) >> np.uint64(11)).astype(np.float64) * 2.0**-53
-        step = np.floor(log_weight / r + beta)
-        score = np.log(c) - r * (step - beta) - r
+        # 16 bits for r, 16 for c and 32 for beta.
+        bits = value * np.uint64(((k + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)) | 1)
+        bits ^= bits >> np.uint64(31)
+        bits *= np.uint64(0xBF58476D1CE4E5B9)
+        bits ^= bits >> np.uint64(29)
+        parts = bits.view(np.uint16).reshape(-1, 4)
+        which, beta = parts[:, 3], bits.view(np.uint32).reshape(-1, 2)[:, 0] * np.float32(2.0**-32)
+        step = np.floor(log_weight * _PER_R[which] + beta)
+        score = _LOG_C[parts[:, 2]] - _R[which] * (step - beta + np.float32(1))
         least = np.repeat(np.minimum.reduceat(score, at), sizes)
         hit = np.flatnonzero(score == least)
         hit = hit[np.append(True, text[hit][1:] != text[hit][:-1])]
@@ -116,16 +127,6 @@ def samples(text: np.ndarray, value: np.ndarray, weight: np.ndarray) -> tuple[np
     return text[at], out
 
 
-def sketches(text: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """A row of ``SLOTS`` bytes for each text: of each slot's least shingle, which is its first, a byte that is never 0."""
-    own = np.cumsum(np.append(False, text[1:] != text[:-1]))
-    out = np.zeros((int(own[-1]) + 1 if len(own) else 0, SLOTS), np.uint8)
-    slot = (value % np.uint64(SLOTS)).astype(np.int64)
-    _, first = np.unique(own * SLOTS + slot, return_index=True)
-    out[own[first], slot[first]] = (value[first] >> np.uint64(16)) % np.uint64(255) + np.uint64(1)
-    return out
-
-
 def similarity(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of two (sorted shingles, weights)."""
     _, a, b = np.intersect1d(one[0], two[0], assume_unique=True, return_indices=True)
@@ -134,245 +135,176 @@ def similarity(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.nda
     return float(low / union) if union > 0 else 0.0
 
 
-def word_idf(docs: DataFrame, common: float = COMMON) -> tuple[np.ndarray, np.ndarray, float]:
-    """(hashes, idf, ceiling): words in over ``common`` of all documents; every other word has the ceiling.
+def _blocks_of_shingles(batches):
+    """(documents, shingles) of blocks; the last block is joined to the one before, so that a short one makes no candidates of its own."""
+    docs, parts, size, before = 0, [], 0, None
+    for batch in batches:
+        for first, end, data, offsets in string_blocks(batch.column(0)):
+            value = counted_shingles(data, offsets)[1]
+            docs, size = docs + end - first, size + len(value)
+            parts.append(value)
+            if docs >= BLOCK_DOCS or size >= BLOCK_SHINGLES:
+                if before:
+                    yield before[0], np.concatenate(before[1])
+                before, docs, parts, size = (docs, parts), 0, [], 0
+    docs, parts = docs + (before[0] if before else 0), parts + (before[1] if before else [])
+    if docs:
+        yield docs, np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
-    Document counts are summed in blocks before the shuffle.
-    """
 
-    def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        words = np.concatenate([p[0] for p in parts])
-        own, at = np.unique(words, return_inverse=True)
-        return own, np.bincount(at, np.concatenate([p[1] for p in parts]), len(own)).astype(np.int64)
+def shingle_idf(docs: DataFrame, common: float = COMMON) -> tuple[np.ndarray, np.ndarray, float]:
+    """(hashes, idf, ceiling): shingles in at least ``common`` of all documents; every other one has the ceiling."""
+    texts, spark = docs.select("text"), docs.sparkSession
 
     @tidy
-    def counts(batches):
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in batches:
-            for _, _, data, offsets in string_blocks(batch.column(0)):
-                starts, ends, text = word_ranges(data, offsets)
-                hashes = Hasher(data).ranges(starts, ends)
-                order = np.argsort(hashes, kind="stable")
-                h, t = hashes[order], text[order]
-                new = np.append(True, (h[1:] != h[:-1]) | (t[1:] != t[:-1])) if len(h) else np.zeros(0, bool)
-                parts.append(np.unique(h[new], return_counts=True))
-                if sum(len(p[0]) for p in parts) > COUNTED:
-                    parts = [summed(parts)]
-                    if len(parts[0][0]) > COUNTED // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(parts[0][0].view(np.int64)), pa.array(parts[0][1])], ["word", "n"])
-                        parts = []
-        if parts:
-            words, n = summed(parts)
-            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
+    def frequent(batches):
+        for n, values in _blocks_of_shingles(batches):
+            own, times = np.unique(values, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(own[times >= common * n].view(np.int64))], ["shingle"])
 
     total = docs.count()
-    df = docs.select("text").mapInArrow(counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = df.where(F.col("n") >= common * total).orderBy("word").toPandas()
-    hashes = rows["word"].to_numpy(np.int64).view(np.uint64)
+    candidates = cut(texts.mapInArrow(frequent, "shingle long").distinct())
+    few = candidates.count() <= CANDIDATES
+    chosen = np.sort(candidates.toPandas()["shingle"].to_numpy(np.int64).view(np.uint64)) if few else None
+    shared = spark.sparkContext.broadcast(chosen)
+
+    @tidy
+    def counts(batches):
+        held = shared.value
+        sums = None if held is None else np.zeros(len(held), np.int64)
+        for _, values in _blocks_of_shingles(batches):
+            if held is None:
+                own, times = np.unique(values, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(times)], ["shingle", "n"])
+            elif len(held):
+                at = np.minimum(np.searchsorted(held, values), len(held) - 1)
+                sums += np.bincount(at[held[at] == values], minlength=len(held))
+        if sums is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(held[sums > 0].view(np.int64)), pa.array(sums[sums > 0])], ["shingle", "n"])
+
+    df = texts.mapInArrow(counts, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= common * total)
+    rows = (df if few else df.join(candidates, "shingle", "left_semi")).toPandas()
+    hashes = rows["shingle"].to_numpy(np.int64).view(np.uint64)
     idf = 1 + np.log10(total / np.maximum(rows["n"].to_numpy(float), 1))
     order = np.argsort(hashes)
     return hashes[order], idf[order], 1 + float(np.log10(1 / common))
 
 
-def _pairs(keys: np.ndarray, own: np.ndarray, sketch: np.ndarray) -> set[tuple[int, int]]:
-    """Likely pairs of rows with equal keys: spanning trees and best partners by agreement of sketches, among those whose samples agree."""
-    out: set[tuple[int, int]] = set()
-    cuts = np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), len(keys))
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        part, marks = own[a:b], sketch[a:b]
-        best, link = np.zeros(b - a, np.int64), np.full(b - a, -1)
-        inside = np.zeros(b - a, bool)
-        for _ in range(b - a):
-            free = np.where(inside, -1, best)
-            i = int(np.argmax(free))
-            if link[i] >= 0:
-                out.add((a + min(i, link[i]), a + max(i, int(link[i]))))
-            inside[i] = True
-            likely = (part == part[i]).sum(1) >= AGREE
-            likely[i] = False
-            agree = np.where(likely, 1 + (marks == marks[i]).sum(1), 0)
-            better = ~inside & (agree > best)
-            best[better], link[better] = agree[better], i
-            if b - a > 2:
-                top = np.argpartition(-agree, min(PARTNERS, b - a - 1))[:PARTNERS]
-                out.update((a + min(i, int(j)), a + max(i, int(j))) for j in top if agree[j])
-    return out
-
-
-def _heads(sampled: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(t, samples) of texts that stand for those with equal samples, and (a, b) of the others with two that stand for them.
-
-    Texts of equal samples are dealt to ``HEADS`` slots with one head each, so a few equals all stand for themselves.
-    """
-    slot = F.pmod(F.xxhash64(F.lit(13), "t"), F.lit(HEADS))
-    dealt = sampled.withColumn("slot", slot)
-    heads = cut(dealt.groupBy("samples", "slot").agg(F.min("t").alias("head"), F.count("*").alias("n")))
-    crowded = heads.groupBy("samples").agg(F.sum("n").alias("texts"), F.count("*").alias("slots"), F.sort_array(F.collect_list("head")).alias("all")).where("texts > slots")
-    # The next head is that of another slot, if there is one.
-    ends = crowded.select("samples", F.explode("all").alias("head"), "all").withColumn("next", F.element_at("all", (F.array_position("all", F.col("head")) % F.size("all") + 1).cast("int")))
-    ends = heads.where("n > 1").select("samples", "slot", "head").join(ends.select("samples", "head", "next"), ["samples", "head"])
-    met = dealt.select("samples", "slot", "t").join(ends, ["samples", "slot"]).where("t != head").select("t", F.explode(F.array("head", "next")).alias("end"))
-    equal = met.select(F.least("t", "end").alias("a"), F.greatest("t", "end").alias("b"))
-    return heads.select(F.col("head").alias("t"), "samples"), equal
-
-
 def _bands() -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("samples", b * (8 * ROWS) + 1, F.lit(8 * ROWS))))
 
 
-def _rest(sampled: DataFrame, roots: DataFrame) -> DataFrame:
-    """(a, b) of all pairs that share a key, whose samples agree and whose components (node, root) differ."""
-    rows = sampled.select("t", F.posexplode(_bands()).alias("band", "key"))
-    known = roots.select(F.col("node").alias("t"), F.xxhash64("root").alias("root"))
-    rows = cut(rows.join(known, "t", "left").withColumn("root", F.coalesce("root", F.xxhash64("t"))))
-    mixed = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key", "n")
-    parts = F.ceil(F.col("n") / BUCKET).cast("long")
-    met = rows.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64(F.lit(5), "t"), parts))
-    met = met.select("*", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("with"))
-    tile = F.xxhash64("key", F.least("own", "with"), F.greatest("own", "with"))
-    met = met.select("t", "band", "root", "own", tile.alias("part"), (F.col("own") == F.col("with")).alias("diagonal"))
-    # A row of a tile off the diagonal meets the other part only.
-    met = cut(met)
+def sampled_nodes(texts: DataFrame, idf: tuple[np.ndarray, np.ndarray, float]) -> DataFrame:
+    """(node, t, samples, least, copies): each different text with words of (doc_id, t, text), ``least`` as (no_id, doc_id)."""
+    shared = texts.sparkSession.sparkContext.broadcast(idf)
+
+    @tidy
+    def sample(batches):
+        for batch in batches:
+            for first, _, data, offsets in string_blocks(batch.column(2)):
+                text, value, weight = shingles(data, offsets, *shared.value)
+                if len(text):
+                    which, own = samples(text, value, weight)
+                    rows = pa.array(first + which)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array([x.tobytes() for x in own], pa.binary())], ["t", "doc_id", "samples"])
+
+    found = texts.select("t", "doc_id", "text").mapInArrow(sample, "t binary, doc_id long, samples binary")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")
+    nodes = found.groupBy("t").agg(F.max("samples").alias("samples"), F.min(place).alias("least"), F.count("*").alias("copies"))
+    return cut(nodes.select(F.monotonically_increasing_id().alias("node"), "*"))
+
+
+def _open_pairs(met: DataFrame, nodes: DataFrame, scored: DataFrame, least: float) -> DataFrame:
+    """(a, b), a > b, of all pairs of a key's different components that can be links and aren't scored."""
+    known = components(scored.where(F.col("similarity") >= least).select("a", "b"))
+    rows = met.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    own = scored.select(F.col("a").alias("node"), F.col("b").alias("head"), F.col("similarity").alias("to_head"))
+    rows = rows.join(own, ["node", "head"], "left").withColumn("to_head", F.when(F.col("node") == F.col("head"), 1.0).otherwise(F.col("to_head")))
+    met = cut(tiles(rows.select("key", "node", "band", "head", "root", "to_head"), BUCKET))
     calls = max(1, -(-met.count() // (2 * BUCKET)))
-    every = met.join(sampled.select("t", F.substring("samples", 1, 8 * _K).alias("samples")), "t").withColumn("call", F.pmod(F.xxhash64(F.lit(9), "part"), F.lit(calls)))
+    every = met.join(nodes.select("node", "samples"), "node").withColumn("call", F.pmod(F.xxhash64(F.lit(9), "tile"), F.lit(calls)))
 
     def compare(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("part", "ascending"), ("t", "ascending")]).combine_chunks()
-        column = lambda name: table.column(name).to_numpy()
-        part, root, own, band, diagonal = (column(c) for c in ("part", "root", "own", "band", "diagonal"))
+        table = table.sort_by([("tile", "ascending"), ("node", "ascending")]).combine_chunks()
+        node, tile, root, own, band, diagonal, head, near = (table.column(c).to_numpy() for c in ("node", "tile", "root", "own", "band", "diagonal", "head", "to_head"))
         marks = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint64).reshape(-1, _K)
-        cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
+        cuts = np.append(np.flatnonzero(np.append(True, tile[1:] != tile[:-1])), len(tile))
         one, two = [], []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             for i in range(a, b - 1):
-                others = i + 1 + np.flatnonzero((root[i + 1 : b] != root[i]) & (diagonal[i] | (own[i + 1 : b] != own[i])))
+                if node[i] == head[i]:
+                    continue  # scored in the first round
+                others = i + 1 + np.flatnonzero((root[i + 1 : b] != root[i]) & (diagonal[i] | (own[i + 1 : b] != own[i])) & (node[i + 1 : b] != head[i]))
+                others = others[~(np.abs(near[others] - near[i]) > 1 - least + 1e-9)]
                 same = marks[others] == marks[i]
                 # The first band that both share makes the pair, so that it is made once.
                 first = same.reshape(-1, BANDS, ROWS).all(2).argmax(1)
                 others = others[(same.sum(1) >= AGREE) & (first == band[i])]
                 one.append(np.full(len(others), i))
                 two.append(others)
-        t = table.column("t").combine_chunks()
-        return pa.table([t.take(pa.array(np.concatenate(x) if x else [], pa.int64())) for x in (one, two)], names=["a", "b"])
+        ends = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (two, one)]
+        return pa.table([pa.array(node[x]) for x in ends], names=["a", "b"])
 
-    return every.groupBy("call").applyInArrow(compare, "a string, b string")
+    pairs = every.groupBy("call").applyInArrow(compare, "a long, b long")
+    return pairs.join(scored, ["a", "b"], "left_anti")
 
 
-def _candidates(sampled: DataFrame) -> DataFrame:
-    """(a, b) of the first round's likely pairs of (t, samples and sketch as binary)."""
-    heads, equal = _heads(sampled)
-    rows = heads.select("t", F.explode(_bands()).alias("key"))
-
-    def compare(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("part", "ascending"), ("t", "ascending")]).combine_chunks()
-        if table.num_rows > 1:
-            # A leader is also dealt to a part as one of its texts.
-            same = pc.and_(*(pc.equal(table.column(c).slice(1), table.column(c).slice(0, table.num_rows - 1)) for c in ("part", "t")))
-            table = table.filter(pa.array(np.append(True, ~same.to_numpy())))
-        both = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint8).reshape(-1, 8 * _K + SLOTS)
-        own = np.ascontiguousarray(both[:, : 8 * _K]).view(np.uint64)
-        found = sorted(_pairs(table.column("part").to_numpy(), own, both[:, 8 * _K :]))
-        t = table.column("t").combine_chunks()
-        return pa.table([t.take(pa.array([x[i] for x in found], pa.int64())) for i in (0, 1)], names=["a", "b"])
-
-    pairs = [equal]
-    for last in (False, True):
-        counts = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-        met = cut(rows.join(counts, "key"))
-        hot = met.where(F.col("n") > BUCKET)
-        small = met.where(F.col("n") <= BUCKET).join(heads, "t").select(F.col("key").alias("part"), "t", "samples")
-        parts = F.ceil(F.col("n") / BUCKET).cast("int")
-        full = hot.join(heads, "t")
-        dealt = full.select(F.xxhash64("key", F.pmod(F.xxhash64(F.lit(5), "t"), parts)).alias("part"), "t", "samples")
-        led = full.groupBy("key", F.pmod(F.xxhash64("t"), F.lit(LEADERS)).alias("slot")).agg(F.min(F.struct("t", "samples")).alias("r"), F.max("n").alias("n"))
-        led = led.select("key", "r.t", "r.samples", F.explode(F.sequence(F.lit(0), parts - 1)).alias("no"))
-        led = led.select(F.xxhash64("key", F.col("no").cast("long")).alias("part"), "t", "samples")
-        # Several parts share one call, as most hold two texts.
-        calls = max(1, -(-met.count() // (2 * BUCKET)))
-        every = small.unionByName(dealt).unionByName(led).withColumn("call", F.pmod(F.xxhash64(F.lit(9), "part"), F.lit(calls)))
-        pairs.append(every.groupBy("call").applyInArrow(compare, "a string, b string"))
-        if last or hot.isEmpty():
-            break
-        own = hot.groupBy("t").agg(F.sort_array(F.collect_list("key")).alias("keys"))
-        two = F.flatten(F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.lit(BANDS)), lambda y: F.xxhash64(x, y))))
-        rows = own.select("t", F.explode(two).alias("key"))
-    out = pairs[0]
-    for p in pairs[1:]:
-        out = out.unionByName(p)
-    return out.distinct()
-
-
-def links(texts: DataFrame, idf: tuple[np.ndarray, np.ndarray, float], least: float = SIMILARITY) -> DataFrame:
-    """(a, b, similarity) between different texts of (doc_id, t, text); ``t`` is the text's key."""
+def links(texts: DataFrame, nodes: DataFrame, idf: tuple[np.ndarray, np.ndarray, float], least: float = SIMILARITY) -> DataFrame:
+    """(a, b, similarity) of verified links between nodes, a > b; their components are the classes."""
     shared = texts.sparkSession.sparkContext.broadcast(idf)
+    rows = nodes.select("node", F.posexplode(_bands()).alias("band", "key"))
+    heads = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("head")).where("n > 1").select("key", "head")
+    met = cut(rows.join(heads, "key"))
+    # One row of each node brings its text, compressed, so copies of a text don't meet in one task.
+    wanted = nodes.join(met.select("node").distinct(), "node").select("node", "least.doc_id", F.col("t").alias("key"))
+    shelf = cut(beside(texts.withColumnRenamed("t", "key"), wanted, "inner").select("node", "packed"))
 
-    @tidy
-    def sample(batches):
-        for batch in batches:
-            keys = batch.column(0)
-            for first, _, data, offsets in string_blocks(batch.column(1)):
-                text, value, weight = shingles(data, offsets, *shared.value)
-                if len(text):
-                    which, own = samples(text, value, weight)
-                    own = np.hstack([own.view(np.uint8), sketches(text, value)])
-                    yield pa.RecordBatch.from_arrays([keys.take(pa.array(first + which)), pa.array([x.tobytes() for x in own], pa.binary())], ["t", "samples"])
-
-    found = texts.select("t", "text").mapInArrow(sample, "t string, samples binary")
-    sampled = cut(found.groupBy("t").agg(F.max("samples").alias("samples")))
-
-    def weighted(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-        out = []
-        for first, end, data, offsets in string_blocks(column):
-            text, value, weight = shingles(data, offsets, *shared.value)
-            cuts = np.searchsorted(text, np.arange(end - first + 1))
-            out += [(value[a:b], weight[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        return out
+    def weighted(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+        raw = unshort(packed)
+        return shingles(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), *shared.value)[1:]
 
     @tidy
     def verify(batches):
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                scores = [similarity(x, y) for x, y in zip(weighted(batch.column(2)), weighted(batch.column(3)), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores)], ["a", "b", "similarity"])
+        last, other = None, None
+        for batch in batches:
+            scores = []
+            for b, x, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                if b != last:
+                    last, other = b, weighted(y)
+                scores.append(similarity(weighted(x), other))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64())], ["a", "b", "similarity"])
 
     def verified(pairs: DataFrame) -> DataFrame:
-        # One row of each text stands for it, so copies don't multiply.
-        ends = pairs.select(F.col("a").alias("t")).unionByName(pairs.select(F.col("b").alias("t"))).distinct()
-        one = texts.join(ends, "t").groupBy("t").agg(F.max("text").alias("text"))
-        both = pairs.join(one.select(F.col("t").alias("a"), F.col("text").alias("text_a")), "a").join(one.select(F.col("t").alias("b"), F.col("text").alias("text_b")), "b")
-        scored = both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a string, b string, similarity double")
-        return scored.where(F.col("similarity") >= least)
+        both = pairs.join(shelf.select(F.col("node").alias("a"), F.col("packed").alias("one")), "a").join(shelf.select(F.col("node").alias("b"), F.col("packed").alias("two")), "b")
+        # Repeated rows bring a text, and so a pair, more than once.
+        return both.select("a", "b", "one", "two").mapInArrow(verify, "a long, b long, similarity double").groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
 
-    pairs = cut(_candidates(sampled))
-    found = cut(verified(pairs))
-    rest = cut(_rest(sampled, components(found.select("a", "b"))).join(pairs, ["a", "b"], "left_anti"))
-    return found.unionByName(verified(rest))
+    scored = cut(verified(met.where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()))
+    rest = cut(_open_pairs(met, nodes, scored, least))
+    return scored.unionByName(verified(rest)).where(F.col("similarity") >= least)
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """doc_id, t (the text's key), class_id, n_verified, kept of every document.
 
-    ``n_verified`` counts the verified links of the document's text, which are
-    not all of its links: pairs within a class are not all tried.  ``class_id``
-    is the least number of the class, and the documents that hold it with the
-    class's first text are kept.
+    ``n_verified`` counts the verified links of the document's text and the
+    other documents of equal text; links within a class beyond these are not
+    all tried.  ``class_id`` is the least number of the class, and the
+    documents that hold it with the class's first text are kept.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("t", text_key())
-    found = cut(links(texts.where("text is not null"), word_idf(texts), least).select("a", "b"))
-    # A text without words has no shingles and stays alone, also among equals.
-    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    nodes = texts.select("doc_id", "t", worded.alias("worded"))
-    ends = found.select(F.col("a").alias("t")).unionAll(found.select(F.col("b").alias("t")))
-    degree = ends.groupBy("t").agg(F.count("*").alias("n_verified"))
-    roots = components(found).select(F.col("node").alias("t"), "root")
-    known = degree.join(roots, "t", "left")
-    member = nodes.join(known, "t", "left")
-    member = member.withColumn("root", F.when(F.col("worded"), F.coalesce("root", "t"))).withColumn("n_verified", F.coalesce("n_verified", F.lit(0)))
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")
-    heads = member.where("worded").groupBy("root").agg(F.min(place).alias("head"))
-    out = member.join(heads, "root", "left")
-    alone = F.col("head").isNull()
+    idf = shingle_idf(texts)
+    nodes = sampled_nodes(texts.where("text is not null"), idf)
+    found = cut(links(texts, nodes, idf, least).select("a", "b"))
+    ends = found.select(F.col("a").alias("node")).unionAll(found.select(F.col("b").alias("node")))
+    known = ends.groupBy("node").agg(F.count("*").alias("degree")).join(components(found), "node")
+    own = F.struct("least.no_id", "least.doc_id", "t")
+    member = nodes.select("node", "t", "copies", own.alias("own")).join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    heads = member.groupBy("root").agg(F.min("own").alias("head"))
+    # A text without words has no node and stays alone, also among equals.
+    member = member.join(heads, "root").select("t", "head", (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("n_verified"))
+    out = texts.select("doc_id", "t").join(member, "t", "left")
+    alone, place = F.col("head").isNull(), F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")
     return out.select(
-        "doc_id", "t", F.when(alone, F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("class_id"), "n_verified", (alone | (place == F.col("head"))).alias("kept")
+        "doc_id", "t", F.when(alone, F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("class_id"), F.coalesce("n_verified", F.lit(0)).cast("long").alias("n_verified"), (alone | (place == F.col("head"))).alias("kept")
     )

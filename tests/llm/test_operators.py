@@ -300,7 +300,7 @@ def test_near_duplicates(spark, monkeypatch, bucket):
     got = rows(neardup.near_duplicates(docs))
     assert len(got) == len(given)
     texts = sorted({t for _, t, *_ in given if t and t.strip()})
-    idf = neardup.word_idf(docs.select("text"))
+    idf = neardup.shingle_idf(docs.select("text"))
     pairs = brute_near(texts, idf)
     root = {t: t for t in texts}
 
@@ -341,7 +341,7 @@ def test_a_large_family_of_near_copies(spark, monkeypatch, bucket):
     docs = table(spark, [(i, t, "x", "a") for i, t in enumerate(texts)])
     got = {r["doc_id"]: r["class_id"] for r in rows(neardup.near_duplicates(docs))}
     least = list(range(len(texts)))
-    pairs = sorted(brute_near(texts, neardup.word_idf(docs.select("text"))))
+    pairs = sorted(brute_near(texts, neardup.shingle_idf(docs.select("text"))))
     for _ in texts:
         before = list(least)
         for i, j in pairs:
@@ -365,7 +365,6 @@ def brute_classes(texts, pairs):
 def test_pairs_in_a_family_of_one_template(spark, monkeypatch):
     """Near copies whose keys all come from a template that far more texts share than a part holds."""
     monkeypatch.setattr(neardup, "BUCKET", 4)
-    monkeypatch.setattr(neardup, "LEADERS", 2)
     rng = random.Random(37)
     template = prose(rng, 110)
     texts = []
@@ -373,29 +372,47 @@ def test_pairs_in_a_family_of_one_template(spark, monkeypatch):
         own = " ".join(f"own{i}x{k}" for k in range(5))
         texts += [f"{template} {own}", f"{template} {own} last{i}"]
     docs = table(spark, [(i, t, "x", "a") for i, t in enumerate(texts)])
-    pairs = sorted(brute_near(texts, neardup.word_idf(docs.select("text"))))
+    pairs = sorted(brute_near(texts, neardup.shingle_idf(docs.select("text"))))
     want = brute_classes(texts, pairs)
     assert len(set(want.values())) == 150
     assert {r["doc_id"]: r["class_id"] for r in rows(neardup.near_duplicates(docs))} == want
 
 
-def test_a_link_that_the_sketch_ranks_last(spark):
+def test_a_link_by_weight_among_texts_that_share_more_shingles(spark):
     """Two near copies by weight, among thirty texts that share more of their shingles but less of their weight."""
     rng = random.Random(38)
-    rare, common = [f"rare{i}" for i in range(150)], [f"common{i}" for i in range(44)]
-    shuffled = lambda: " ".join(rng.sample(common, len(common)))
-    ends = [shuffled(), shuffled()]
+    rare, common = [f"rare{i}" for i in range(200)], [f"common{i}" for i in range(44)]
+    ends = [" ".join(rng.sample(common, len(common))) for _ in range(2)]
     whole = " ".join(rare)
     less = [" ".join(rare[: 4 + 4 * i] + rare[24 + 4 * i :]) for i in range(30)]
     texts = [f"{whole} {x}" for x in ends] + [f"{x} {ends[0]} {ends[1]}" for x in less]
-    texts += [shuffled() for _ in range(4000)]
+    # The two ends are in half of all documents each, so they weigh little.
+    texts += [f"{ends[i % 2]} " + " ".join(f"own{i}x{k}" for k in range(30)) for i in range(4000)]
     docs = table(spark, [(i, t, "x", "a") for i, t in enumerate(texts)])
-    pairs = sorted(brute_near(texts[:32], neardup.word_idf(docs.select("text"))))
+    pairs = sorted(brute_near(texts[:32], neardup.shingle_idf(docs.select("text"))))
     want = brute_classes(texts, pairs)
     assert want[1] == 0 and min(want[i] for i in range(2, 32)) == 2
     assert {r["doc_id"]: r["class_id"] for r in rows(neardup.near_duplicates(docs))} == want
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_idf_counts_documents(spark, monkeypatch, few):
+    """Document counts of frequent shingles, by broadcast candidates and by the shuffle beyond their bound."""
+    monkeypatch.setattr(neardup, "BLOCK_DOCS", 60)
+    if not few:
+        monkeypatch.setattr(neardup, "CANDIDATES", 0)
+    rng = random.Random(41)
+    phrases = [prose(rng, 9) for _ in range(5)]
+    texts = [" ".join([prose(rng, 3), *rng.sample(phrases, rng.randrange(3)), prose(rng, 3)]) for _ in range(700)] + [None, "", " "]
+    counts = Counter()
+    for t in texts:
+        data = np.frombuffer((t or "").encode(), np.uint8)
+        counts.update(neardup.counted_shingles(data, np.array([0, len(data)]))[1].tolist())
+    want = {v: 1 + np.log10(len(texts) / n) for v, n in counts.items() if n >= 0.01 * len(texts)}
+    hashes, idf, ceiling = neardup.shingle_idf(table(spark, [(i, t, "x", "a") for i, t in enumerate(texts)]))
+    assert ceiling == 3 and len(want) >= 25 and dict(zip(hashes.tolist(), idf.tolist(), strict=True)) == pytest.approx(want)
+
+
 def test_a_repeated_phrase_makes_no_copies(spark):
     """Texts that share one phrase, repeated hundreds of times, and nothing else; and a near copy of one of them."""
     rng = random.Random(35)
