@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.llm import bpe, language, lines, mixing, neardup
-from rollbook.llm.common import text_key
+from rollbook.llm.common import packed, text_key, unpacked
 from rollbook.llm.queries import vocabulary_path
 
 #: A document goes if its text has no letters or no language reaches this share.
@@ -38,12 +38,17 @@ def line_deduped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_deduped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays: the least number, null last."""
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("its_id"), F.col("t").alias("its_t")).distinct()
-    keyed = docs.withColumns({"__t": F.coalesce(text_key(), F.lit("")), "__id": F.col("doc_id").cast("long")})
-    kept = kept.withColumn("its_t", F.coalesce("its_t", F.lit("")))
-    out = keyed.join(kept, F.col("__id").eqNullSafe(F.col("its_id")) & (F.col("__t") == F.col("its_t")), "left_semi")
-    return out.dropDuplicates(["__id", "__t"]).drop("__t", "__id")
+    """One document of each class stays: the least number, null last; of rows with equal number and text, the least by the other columns.
+
+    Texts without words are classes of their own.
+    """
+    row_key = lambda t: F.concat(F.hex(F.coalesce(t, F.lit(b""))), F.lit("/"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))
+    kept = neardup.near_duplicates(docs).where("kept").select(row_key(F.col("t")).alias("key")).distinct()
+    others = F.struct(*[c for c in docs.columns if c != "text"]).alias("held")
+    rows = packed(docs.select(F.col("text").cast("string").alias("text"), others, row_key(text_key()).alias("key"))).join(kept, "key", "left_semi")
+    # The join has brought the rows of a key together already.
+    one = rows.groupBy("key").agg(F.min(F.struct("held", "packed")).alias("row"))
+    return unpacked(one.select("row.packed", "row.held")).select(*[F.col("text") if c == "text" else F.col(f"held.{c}").alias(c) for c in docs.columns])
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
