@@ -40,15 +40,16 @@ def _state(edges: DataFrame) -> tuple:
 def tiles(rows: DataFrame, bucket: int) -> DataFrame:
     """Rows of keys with several components, dealt to tiles in which every pair of components meets once.
 
-    ``rows`` has key, node and root.  Adds ``tile``, ``own`` (the row's part)
-    and ``diagonal``: in a tile off the diagonal, only rows of different parts
-    need be compared.  A key of up to ``bucket`` rows is one tile.  In a larger
+    ``rows`` has key, node, root and units (its share of ``bucket``).  Adds
+    ``tile``, ``own`` (the row's part) and ``diagonal``: in a tile off the
+    diagonal, only rows of different parts need be compared.  A key of up to
+    ``bucket`` units is one tile.  In a larger
     one the nodes outside of its largest component meet each other and that
     component, whose own nodes don't meet; so a hot key that is one class but
     for a few nodes costs its rows times the parts of those few.
     """
     rows = cut(rows)
-    by_root = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
+    by_root = rows.groupBy("key", "root").agg(F.sum("units").alias("n"))
     keys = by_root.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1")
     keys = keys.select("key", "n", F.col("most.n").alias("n_most"), F.col("most.root").alias("major"))
     met = rows.join(keys, "key")

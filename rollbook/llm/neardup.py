@@ -12,15 +12,16 @@ document's mean count of shingles, whatever the input.
 Equal texts are one node.  16 samples in 8 bands make keys.  In the first
 round each node of a key is verified, by weighted Jaccard similarity on whole
 texts, against the key's least node alone; links make components.  The second
-round reads the keys whose nodes are not yet in one component and verifies
-every pair of different components that can still be a link: at least
-``AGREE`` samples are equal, and the similarities to the key's least node
-differ by at most 1 - ``SIMILARITY`` (1 - similarity is a metric).  So no
-link between classes that shares a key is lost but by ``AGREE``, and a class
-costs one link for each node and key.  A key of over ``BUCKET`` nodes is read
-in tiles: nodes outside of its largest component meet all others, those
-inside only the former.  Tiles grow with the product of the two, so with the
-square of a group whose texts are likely but not verified copies.
+round reads the keys whose nodes are not yet in one component, and computes
+the similarities of all pairs of different components of a key, exactly and
+without a row for a pair: a tile's texts meet in one matrix product, and only
+links that join two components come out.  So no link between classes that
+share a key is lost, and a class costs one link for each node and key.  A key
+of over ``BUCKET`` nodes is read in tiles: nodes outside of its largest
+component meet all others, those inside only the former.  The tiles' work
+grows with the product of the two, so with the square of a group whose texts
+share a key and are no copies; their rows and texts with its part of
+``BUCKET``.
 
 Defined cases: texts without words (null, empty) are classes of their own;
 texts of one to four words are one shingle; very long texts are read whole,
@@ -37,17 +38,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hasher, beside, cut, mix, string_blocks, text_key, tidy, unshort, word_ranges
+from .common import Hasher, beside, cut, give_back, mix, string_blocks, text_key, tidy, unshort, word_ranges
 from .graph import components, tiles
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 8, 2
 COMMON = 0.01
-#: Nodes of a key that one tile reads whole.
-BUCKET = 512
-#: Of 16 samples, as many must agree before a pair of the second round is verified; at similarity 0.8 fewer do once in 30,000 pairs.
-AGREE = 6
+#: Nodes of a key that one tile reads whole; each ``UNIT`` bytes of a compressed text count as a node, so that a tile's memory is bounded.
+BUCKET, UNIT = 384, 32768
+#: Shingles of a block of a tile's matrix product.
+COLUMNS = 2048
 #: Documents and shingles of a block whose frequent shingles are candidates, and candidates that are broadcast; more are counted by a shuffle.
 BLOCK_DOCS, BLOCK_SHINGLES, CANDIDATES = 4096, 4_000_000, 1_000_000
 _K = BANDS * ROWS
@@ -214,55 +215,103 @@ def sampled_nodes(texts: DataFrame, idf: tuple[np.ndarray, np.ndarray, float]) -
     return cut(nodes.select(F.monotonically_increasing_id().alias("node"), "*"))
 
 
-def _open_pairs(met: DataFrame, nodes: DataFrame, scored: DataFrame, least: float) -> DataFrame:
-    """(a, b), a > b, of all pairs of a key's different components that can be links and aren't scored."""
+def linked_in_tile(sets: list[tuple[np.ndarray, np.ndarray]], root: np.ndarray, apart: np.ndarray, least: float) -> list[tuple[int, int, float]]:
+    """(i, j, similarity) of a spanning forest of the links between different roots; ``apart`` tells which rows need be compared.
+
+    Sums of lesser weights come from matrix products: a shingle's weights
+    differ between texts by how often it is repeated alone, so each step
+    between two of them is one product of the texts that reach the upper.
+    Shingles that one text holds are left out, columns go in blocks.
+    """
+    n, sizes = len(sets), np.array([len(x[0]) for x in sets])
+    value, weight = (np.concatenate([x[k] for x in sets]) for k in (0, 1))
+    own, at, held = np.unique(value, return_inverse=True, return_counts=True)
+    which, kept = np.repeat(np.arange(n), sizes), held[at] > 1
+    column = (np.cumsum(held > 1) - 1)[at[kept]]
+    which, weight_, shared = which[kept], weight[kept].astype(np.float32), np.zeros((n, n), np.float32)
+    order = np.argsort(column, kind="stable")
+    which, column, weight_ = which[order], column[order], weight_[order]
+    for a in range(0, int(held[held > 1].size), COLUMNS):
+        lo, hi = np.searchsorted(column, (a, a + COLUMNS))
+        block = np.zeros((n, COLUMNS), np.float32)
+        block[which[lo:hi], column[lo:hi] - a] = weight_[lo:hi]
+        below = np.zeros(COLUMNS, np.float32)
+        while True:
+            step = np.where(block > below, block, np.inf).min(0)
+            live = np.flatnonzero(np.isfinite(step) & ((block > below).sum(0) > 1))
+            if not len(live):
+                break
+            reach = (block[:, live] > below[live]) * np.sqrt(step[live] - below[live])
+            shared += reach @ reach.T
+            block, below = block[:, live], step[live]
+    total = np.array([x[1].sum() for x in sets])
+    near = shared / np.maximum(total[:, None] + total[None] - shared, 1e-9)
+    near[~apart | (root[:, None] == root[None])] = 0
+    one, two = np.nonzero(np.triu(near >= least - 1e-3, 1))
+    parent = {r: r for r in root.tolist()}
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out = []
+    for k in np.argsort(-near[one, two], kind="stable").tolist():
+        i, j = int(one[k]), int(two[k])
+        a, b = find(int(root[i])), find(int(root[j]))
+        if a != b and (exact := similarity(sets[i], sets[j])) >= least:
+            parent[a] = b
+            out.append((i, j, exact))
+    return out
+
+
+def _open_links(met: DataFrame, shelf: DataFrame, scored: DataFrame, idf, least: float) -> DataFrame:
+    """(a, b, similarity), a > b, of links that join different components within a key."""
     known = components(scored.where(F.col("similarity") >= least).select("a", "b"))
     rows = met.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    own = scored.select(F.col("a").alias("node"), F.col("b").alias("head"), F.col("similarity").alias("to_head"))
-    rows = rows.join(own, ["node", "head"], "left").withColumn("to_head", F.when(F.col("node") == F.col("head"), 1.0).otherwise(F.col("to_head")))
-    met = cut(tiles(rows.select("key", "node", "band", "head", "root", "to_head"), BUCKET))
-    calls = max(1, -(-met.count() // (2 * BUCKET)))
-    every = met.join(nodes.select("node", "samples"), "node").withColumn("call", F.pmod(F.xxhash64(F.lit(9), "tile"), F.lit(calls)))
-
-    def compare(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("tile", "ascending"), ("node", "ascending")]).combine_chunks()
-        node, tile, root, own, band, diagonal, head, near = (table.column(c).to_numpy() for c in ("node", "tile", "root", "own", "band", "diagonal", "head", "to_head"))
-        marks = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint64).reshape(-1, _K)
-        cuts = np.append(np.flatnonzero(np.append(True, tile[1:] != tile[:-1])), len(tile))
-        one, two = [], []
+    rows = rows.join(shelf.select("node", (1 + F.floor(F.length("packed") / UNIT)).alias("units")).distinct(), "node")
+    dealt = cut(tiles(rows.select("key", "node", "root", "units"), BUCKET))
+    calls = max(1, -(-int(dealt.agg(F.sum("units")).first()[0] or 0) // (2 * BUCKET)))
+    every = dealt.join(shelf, "node").withColumn("call", F.pmod(F.xxhash64(F.lit(9), "tile"), F.lit(calls)))
+
+    def solve(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("tile", "ascending"), ("node", "ascending")])
+        node, tile, root, own, diagonal = (table.column(c).to_numpy() for c in ("node", "tile", "root", "own", "diagonal"))
+        # A repeated row brings its text, and so the node, more than once.
+        first = np.flatnonzero(np.append(True, (tile[1:] != tile[:-1]) | (node[1:] != node[:-1])))
+        cuts = np.append(np.flatnonzero(np.append(True, tile[first][1:] != tile[first][:-1])), len(first))
+        sets: dict[int, tuple] = {}
+        out: list[tuple[int, int, float]] = []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            for i in range(a, b - 1):
-                if node[i] == head[i]:
-                    continue  # scored in the first round
-                others = i + 1 + np.flatnonzero((root[i + 1 : b] != root[i]) & (diagonal[i] | (own[i + 1 : b] != own[i])) & (node[i + 1 : b] != head[i]))
-                others = others[~(np.abs(near[others] - near[i]) > 1 - least + 1e-9)]
-                same = marks[others] == marks[i]
-                # The first band that both share makes the pair, so that it is made once.
-                first = same.reshape(-1, BANDS, ROWS).all(2).argmax(1)
-                others = others[(same.sum(1) >= AGREE) & (first == band[i])]
-                one.append(np.full(len(others), i))
-                two.append(others)
-        ends = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (two, one)]
-        return pa.table([pa.array(node[x]) for x in ends], names=["a", "b"])
-
-    pairs = every.groupBy("call").applyInArrow(compare, "a long, b long")
-    return pairs.join(scored, ["a", "b"], "left_anti")
+            at = first[a:b]
+            for i in at.tolist():
+                if node[i] not in sets:
+                    sets[node[i]] = _weighted(table.column("packed")[i].as_py(), idf.value)
+            apart = diagonal[at][:, None] | (own[at][:, None] != own[at][None])
+            found = linked_in_tile([sets[x] for x in node[at].tolist()], root[at], apart, least)
+            out += [(int(node[at[j]]), int(node[at[i]]), x) for i, j, x in found]
+        give_back()
+        return pa.table([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], names=["a", "b", "similarity"])
+
+    columns = ["call", "tile", "node", "root", "own", "diagonal", "packed"]
+    return every.select(*columns).groupBy("call").applyInArrow(solve, "a long, b long, similarity double")
+
+
+def _weighted(packed: bytes, idf: tuple[np.ndarray, np.ndarray, float]) -> tuple[np.ndarray, np.ndarray]:
+    raw = unshort(packed)
+    return shingles(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), *idf)[1:]
 
 
 def links(texts: DataFrame, nodes: DataFrame, idf: tuple[np.ndarray, np.ndarray, float], least: float = SIMILARITY) -> DataFrame:
     """(a, b, similarity) of verified links between nodes, a > b; their components are the classes."""
     shared = texts.sparkSession.sparkContext.broadcast(idf)
-    rows = nodes.select("node", F.posexplode(_bands()).alias("band", "key"))
+    rows = nodes.select("node", F.explode(_bands()).alias("key"))
     heads = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("head")).where("n > 1").select("key", "head")
     met = cut(rows.join(heads, "key"))
     # One row of each node brings its text, compressed, so copies of a text don't meet in one task.
     wanted = nodes.join(met.select("node").distinct(), "node").select("node", "least.doc_id", F.col("t").alias("key"))
     shelf = cut(beside(texts.withColumnRenamed("t", "key"), wanted, "inner").select("node", "packed"))
 
-    def weighted(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
-        raw = unshort(packed)
-        return shingles(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), *shared.value)[1:]
-
     @tidy
     def verify(batches):
         last, other = None, None
@@ -270,18 +319,16 @@ def links(texts: DataFrame, nodes: DataFrame, idf: tuple[np.ndarray, np.ndarray,
             scores = []
             for b, x, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 if b != last:
-                    last, other = b, weighted(y)
-                scores.append(similarity(weighted(x), other))
+                    last, other = b, _weighted(y, shared.value)
+                scores.append(similarity(_weighted(x, shared.value), other))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64())], ["a", "b", "similarity"])
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(shelf.select(F.col("node").alias("a"), F.col("packed").alias("one")), "a").join(shelf.select(F.col("node").alias("b"), F.col("packed").alias("two")), "b")
-        # Repeated rows bring a text, and so a pair, more than once.
-        return both.select("a", "b", "one", "two").mapInArrow(verify, "a long, b long, similarity double").groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
-
-    scored = cut(verified(met.where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()))
-    rest = cut(_open_pairs(met, nodes, scored, least))
-    return scored.unionByName(verified(rest)).where(F.col("similarity") >= least)
+    pairs = met.where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+    both = pairs.join(shelf.select(F.col("node").alias("a"), F.col("packed").alias("one")), "a").join(shelf.select(F.col("node").alias("b"), F.col("packed").alias("two")), "b")
+    # Repeated rows bring a text, and so a pair, more than once.
+    scored = both.select("a", "b", "one", "two").mapInArrow(verify, "a long, b long, similarity double").groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
+    scored = cut(scored)
+    return scored.where(F.col("similarity") >= least).unionByName(_open_links(met, shelf, scored, shared, least))
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:

@@ -395,6 +395,27 @@ def test_a_link_by_weight_among_texts_that_share_more_shingles(spark):
     assert {r["doc_id"]: r["class_id"] for r in rows(neardup.near_duplicates(docs))} == want
 
 
+def test_links_of_a_tile(monkeypatch):
+    """The matrix product against similarities of pairs, with repeated shingles, several blocks of columns, and rows that need not meet."""
+    monkeypatch.setattr(neardup, "COLUMNS", 50)
+    rng, flat = random.Random(43), (np.zeros(0, np.uint64), np.zeros(0), 3.0)
+    base, sets = prose(rng, 90).split(), []
+    for i in range(70):
+        own = list(base)
+        for _ in range(rng.randrange(5)):
+            own[rng.randrange(len(own))] = f"edit{rng.randrange(9999)}"
+        own += ["again", "and"] * rng.choice([0, 0, 4, 9, 40])
+        data = np.frombuffer(" ".join(own).encode(), np.uint8)
+        sets.append(neardup.shingles(data, np.array([0, len(data)]), *flat)[1:])
+    root, part = np.arange(70) // 2, np.arange(70) % 3
+    apart = part[:, None] != part[None]
+    found = neardup.linked_in_tile(sets, root, apart, 0.8)
+    links = [(i, j) for i in range(70) for j in range(i) if apart[i, j] and neardup.similarity(sets[i], sets[j]) >= 0.8]
+    together = [(i, i - 1) for i in range(1, 70, 2)]
+    assert brute_classes(root, [x[:2] for x in found] + together) == brute_classes(root, links + together)
+    assert 0 < len(found) < len(set(root.tolist())) and all(x == neardup.similarity(sets[i], sets[j]) >= 0.8 for i, j, x in found)
+
+
 @pytest.mark.parametrize("few", [True, False])
 def test_idf_counts_documents(spark, monkeypatch, few):
     """Document counts of frequent shingles, by broadcast candidates and by the shuffle beyond their bound."""
