@@ -41,11 +41,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
-def thumbnails(vectors: DataFrame) -> DataFrame:
-    """(id, image): each vector as a PGM mosaic, one tile of 8 x 8 pixels a number, ranks as grey levels.
+def thumbnails(vectors: DataFrame, size: int = 96) -> DataFrame:
+    """(id, image): each vector as a PGM picture, a sum of plane waves with one number as the height of each.
 
     The tables hold no pictures; vectors that are next to each other give
-    pictures that are edits of each other.
+    pictures that are edits of each other.  Every place of a picture depends
+    on all numbers.
     """
 
     def draw(batches):
@@ -56,9 +57,10 @@ def thumbnails(vectors: DataFrame) -> DataFrame:
                 if not side or any(x is None for x in v):
                     out.append(None)
                     continue
-                rank = np.argsort(np.argsort(v[: side * side], kind="stable"), kind="stable")
-                tiles = (rank * 255 // max(len(rank) - 1, 1)).astype(np.uint8).reshape(side, side)
-                out.append(f"P5 {8 * side} {8 * side} 255\n".encode() + np.kron(tiles, np.ones((8, 8), np.uint8)).tobytes())
+                waves = np.cos(np.pi / size * (np.arange(size)[:, None] + 0.5) * (2 * np.arange(side) + 6))
+                levels = waves @ np.reshape(v[: side * side], (side, side)) @ waves.T
+                levels = 127.5 + 127.5 * levels / max(np.abs(levels).max(), 1e-9)
+                out.append(f"P5 {size} {size} 255\n".encode() + np.rint(levels).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "image"])
 
     return vectors.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(draw, "id long, image binary")

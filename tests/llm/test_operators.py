@@ -114,6 +114,71 @@ def test_images(spark):
     assert rows(images.find_copies(spark.createDataFrame([], "id long, image binary"))) == []
 
 
+def waves(rng, size=128):
+    """A textured picture."""
+    w = np.cos(np.pi / size * (np.arange(size)[:, None] + 0.5) * (3 * np.arange(8) + 10))
+    levels = w @ rng.normal(0, 1, (8, 8)) @ w.T
+    return np.rint(127.5 + 127.5 * levels / np.abs(levels).max()).astype(np.uint8)
+
+
+EDITS = {
+    "crop": lambda a, rng: a[12:, 9:],
+    "quarter": lambda a, rng: a[25:89, 31:95],
+    "brightness": lambda a, rng: np.rint(a * 0.7 + 20),
+    "turn": lambda a, rng: np.rot90(a),
+    "noise": lambda a, rng: np.clip(a + np.rint(rng.normal(0, 3, a.shape)), 0, 255),
+    "half": lambda a, rng: np.rint(images._resized(a.astype(np.float32), 2.0)),
+    "two thirds": lambda a, rng: np.rint(images._resized(a.astype(np.float32), 1.5)),
+}
+
+
+@pytest.mark.parametrize("bucket", [256, 3])
+def test_image_classes_and_recall(spark, monkeypatch, bucket):
+    """Classes against all pairs by brute force, and edits found of each kind."""
+    monkeypatch.setattr(images, "BUCKET", bucket)
+    rng = np.random.default_rng(17)
+    motif = waves(rng)[:64, :64]
+    pictures = [waves(rng) for _ in range(14)]
+    for p in pictures[7:]:
+        p[30:94, 40:104] = motif  # found in all of these, which so are one class
+    given = [(i, p) for i, p in enumerate(pictures)]
+    for k, edit in enumerate(EDITS.values()):
+        given += [(100 * (k + 1) + i, np.ascontiguousarray(edit(p, rng)).astype(np.uint8)) for i, p in enumerate(pictures[:7])]
+    described = [images.describe(images.decode(pgm(p))) for _, p in given]
+    links = [(i, j) for i in range(len(given)) for j in range(i) if images.consensus(described[i], described[j]) >= images.CONSENSUS or images.consensus(described[j], described[i]) >= images.CONSENSUS]
+    want = brute_classes(given, links)
+    got = {r["id"]: r["class_id"] for r in rows(images.find_copies(spark.createDataFrame([(i, pgm(p)) for i, p in given], "id long, image binary")))}
+    assert got == {given[k][0]: given[c][0] for k, c in want.items()}
+    found = {name: np.mean([got[100 * (k + 1) + i] == got[i] for i in range(7)]) for k, name in enumerate(EDITS)}
+    assert np.mean(list(found.values())) >= 0.9 and min(found.values()) >= 0.85, found
+    assert [got[i] for i in range(7)] == list(range(7))
+
+
+def filtered_png(a, method):
+    """A PNG of grey or colour pixels with one filter in all rows, written from the format's definition."""
+    h, w, c = a.shape
+    raw, x = b"", a.astype(int)
+    at = lambda y, i, k: int(x[y, i, k]) if y >= 0 and i >= 0 else 0
+    for y in range(h):
+        raw += bytes([method])
+        for i in range(w):
+            for k in range(c):
+                left, up, corner = at(y, i - 1, k), at(y - 1, i, k), at(y - 1, i - 1, k)
+                p = left + up - corner
+                paeth = min((left, up, corner), key=lambda v: abs(p - v))
+                raw += bytes([(at(y, i, k) - [0, left, up, (left + up) // 2, paeth][method]) % 256])
+    chunk = lambda n, d: len(d).to_bytes(4, "big") + n + d + zlib.crc32(n + d).to_bytes(4, "big")
+    head = w.to_bytes(4, "big") + h.to_bytes(4, "big") + bytes([8, {1: 0, 3: 2}[c], 0, 0, 0])
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
+
+
+@pytest.mark.parametrize("method", range(5))
+def test_png_filters(method):
+    a = np.random.default_rng(method).integers(0, 256, (9, 7, 3)).astype(np.uint8)
+    assert np.allclose(images.decode(filtered_png(a, method)), a @ np.array([0.299, 0.587, 0.114]), atol=1e-3)
+    assert (images.decode(filtered_png(a[..., :1], method)) == a[..., 0]).all()
+
+
 # 3. Lines
 
 
