@@ -4,26 +4,29 @@ Texts are split at white space, which the tokenizer never joins over, in
 blocks of whole documents.  Each block's distinct words are dealt by hash to
 buckets, where a word that many blocks hold is encoded once; identifiers
 go back to their block and meet its documents by position.  Decoding joins
-identifiers to the vocabulary's pieces, word by word.
-
-What is shuffled is packed and compressed: a row is a block's words of one
-bucket, or a block's documents as word positions.  A task holds one block, or
-the distinct words of one bucket; buckets follow the shuffle partitions, so
-both stay bounded as the input grows.  Blocks are cut from the input's
-partitions twice, so the input should be a table or another plan that gives
-the same rows in the same order each time; blocks carry a digest of their
-content as key, and one that doesn't meet itself again fails the job.
+the identifiers to the vocabulary's table of pieces, by identifier; the table
+is as long as the vocabulary, whatever the input, so each task holds it.
+
+Words, positions, identifiers and pieces are arrays throughout, and what is
+shuffled is packed and compressed: a row is a block's words of one bucket, or
+a block's documents as word positions.  A task holds one block, or the
+distinct words of one bucket; both follow the input's size, not the session's
+partitions.  Blocks are cut from the input's partitions twice, so the input
+should be a table or another plan that gives the same rows in the same order
+each time; blocks carry a digest of their content as key, and one that
+doesn't meet itself again fails the job.
 
 Defined cases: a null or empty text has no identifiers and decodes to the
-empty text; strings of special tokens in a text become their identifiers, as
-in the library; repeated rows give equal rows; other columns of the input are
+empty text; a very long text is a block of its own, read whole; bytes that are
+no UTF-8 count as the replacement character; strings of special tokens in a
+text become their identifiers, as in the library; repeated rows give equal
+rows; an empty table gives an empty result; other columns of the input are
 not read.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,15 +35,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, string_blocks, tidy
+from .common import Hasher, give_back, mix, short, string_blocks, tidy, unshort, word_ranges
 
 BLOCK_BYTES = 4 << 20
+#: Bytes of text for each bucket of words, and for each partition in which blocks meet their identifiers.
+BUCKET_BYTES = 16 << 20
 _ENCODE_BATCH = 20_000
 _LOADED: dict[str, tuple] = {}
 
 
 def _tokenizer(path: str):
-    """The library's tokenizer of a vocabulary file and its pieces by identifier, loaded once a process."""
+    """The library's tokenizer of a vocabulary file, loaded once a process, and its decimal numbers and pieces by identifier."""
     if path not in _LOADED:
         import os
 
@@ -51,39 +56,95 @@ def _tokenizer(path: str):
         loaded.no_truncation()
         loaded.no_padding()
         pieces = {i: p for p, i in loaded.get_vocab(with_added_tokens=True).items()}
-        _LOADED[path] = loaded, pieces
+        size = max(pieces, default=-1) + 1
+        _LOADED[path] = loaded, Strings([f"{i} ".encode() for i in range(size)]), Strings([f"{pieces.get(i, '')} ".encode() for i in range(size)])
     return _LOADED[path]
 
 
-def _blocks(batches) -> Iterator[tuple[bytes, list, list[list[bytes]]]]:
-    """(key, document numbers, words) of blocks of whole documents."""
+class Strings:
+    """Byte strings by number, each with its separator."""
+
+    def __init__(self, values: list[bytes]):
+        self._sizes = np.array([len(v) for v in values], np.int64)
+        self._starts = np.cumsum(self._sizes) - self._sizes
+        self._data = np.frombuffer(b"".join(values), np.uint8)
+
+    def joined(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The strings of the numbers, one after the other, and where each begins, with the end."""
+        sizes = self._sizes[numbers]
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        return self._data[_ranges(self._starts[numbers], sizes, edges)], edges
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """All places of the ranges, in order."""
+    return np.repeat(starts - edges[:-1], sizes) + np.arange(edges[-1])
+
+
+class _Block:
+    """A block of whole documents: its distinct words in order of bucket and hash, and the place of every word among them."""
+
+    def __init__(self, ids: pa.Array, data: np.ndarray, offsets: np.ndarray, buckets: int):
+        self.ids, self._data = ids, data
+        self.key = xxhash.xxh3_128_digest(data.tobytes() + offsets.tobytes() + repr(ids.to_pylist()).encode())
+        starts, ends, text = word_ranges(data, offsets)
+        self.sizes = np.bincount(text, minlength=len(ids)).astype(np.int32)
+        hashes = Hasher(data).ranges(starts, ends)
+        own, first, at = np.unique(hashes, return_index=True, return_inverse=True)
+        starts, ends = self._distinct(starts, ends, first, at)
+        self.bucket = ((mix(own) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(self.bucket, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.places, self.bucket = place[at], self.bucket[order]
+        self._starts, self._lengths = starts[order], (ends - starts)[order]
+
+    def _distinct(self, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first of each distinct word, after a look at the bytes of all others."""
+        sizes = ends - starts
+        if (sizes != sizes[first][at]).any():
+            raise RuntimeError("two words have one hash")
+        for a in range(0, len(starts), 1 << 18):
+            part = slice(a, a + (1 << 18))
+            edges = np.concatenate([[0], np.cumsum(sizes[part])])
+            one, two = (_ranges(x, sizes[part], edges) for x in (starts[part], starts[first][at[part]]))
+            if (self._data[one] != self._data[two]).any():
+                raise RuntimeError("two words have one hash")
+        return starts[first], ends[first]
+
+    def words(self) -> Iterator[tuple[int, bytes]]:
+        """(bucket, packed words) of the buckets that the block has words for."""
+        edges = np.concatenate([[0], np.cumsum(self._lengths)])
+        raw = self._data[_ranges(self._starts, self._lengths, edges)]
+        cuts = np.flatnonzero(np.append(True, self.bucket[1:] != self.bucket[:-1])) if len(self.bucket) else self.bucket
+        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(self.bucket)], strict=True):
+            yield int(self.bucket[a]), _packed(self._lengths[a:b], raw[edges[a] : edges[b]])
+
+
+def _blocks(batches, buckets: int) -> Iterator[_Block]:
     for batch in batches:
-        ids = batch.column(0)
         for first, end, data, offsets in string_blocks(batch.column(1), BLOCK_BYTES):
-            own, raw = ids.slice(first, end - first).to_pylist(), data.tobytes()
-            key = xxhash.xxh3_128_digest(raw + repr(own).encode() + offsets.tobytes())
-            yield key, own, [raw[a:b].split() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            yield _Block(batch.column(0).slice(first, end - first), data, offsets, buckets)
 
 
-def _dealt(texts: list[list[bytes]], buckets: int) -> tuple[dict[bytes, int], list[list[bytes]]]:
-    """Position of each distinct word of a block, and the words of each bucket in order of position."""
-    distinct = sorted({w for words in texts for w in words})
-    dealt: list[list[bytes]] = [[] for _ in range(buckets)]
-    for w in distinct:
-        dealt[zlib.crc32(w) % buckets].append(w)
-    return {w: i for i, w in enumerate(w for bucket in dealt for w in bucket)}, dealt
+def _packed(sizes: np.ndarray, data: np.ndarray) -> bytes:
+    """Sizes of parts, and the parts, compressed."""
+    return short(len(sizes).to_bytes(4, "little") + _planes(sizes) + data.tobytes())
 
 
-def _packed(parts: list[bytes]) -> bytes:
-    sizes = np.fromiter(map(len, parts), np.int32, len(parts)).tobytes()
-    return zlib.compress(len(parts).to_bytes(4, "little") + sizes + b"".join(parts), 1)
+def _unpacked(blob: bytes) -> tuple[np.ndarray, memoryview]:
+    raw = memoryview(unshort(blob))
+    n = int.from_bytes(raw[:4], "little")
+    return _unplaned(raw[4 : 4 + 4 * n]), raw[4 + 4 * n :]
 
 
-def _unpacked(blob: bytes) -> list[bytes]:
-    raw = zlib.decompress(blob)
-    n = int.from_bytes(raw[:4], "little")
-    ends = 4 + 4 * n + np.concatenate([[0], np.cumsum(np.frombuffer(raw, np.int32, n, 4), dtype=np.int64)])
-    return [raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+def _planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers byte by byte, which compresses better."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unplaned(raw) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
 def encode(docs: DataFrame, vocabulary: str, buckets: int | None = None) -> DataFrame:
@@ -97,79 +158,78 @@ def digests(docs: DataFrame, vocabulary: str, buckets: int | None = None) -> Dat
 
 
 def _through_words(docs: DataFrame, vocabulary: str, buckets: int | None, digests: bool) -> DataFrame:
-    spark = docs.sparkSession
-    buckets = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    size = int(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    parts = max(8, -(-size // BUCKET_BYTES))
+    buckets = buckets or parts
 
     @tidy
     def words(batches):
         """A row for each block and bucket with words."""
-        for key, _, block in _blocks(batches):
-            dealt = [(i, _packed(x)) for i, x in enumerate(_dealt(block, buckets)[1]) if x]
-            for i, blob in dealt:
-                yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([i], pa.int32()), pa.array([blob])], ["block", "bucket", "words"])
+        for block in _blocks(batches, buckets):
+            rows = list(block.words())
+            yield pa.RecordBatch.from_arrays([pa.array([block.key] * len(rows), pa.binary()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["block", "bucket", "words"])
 
     @tidy
     def encoded(batches):
-        """Each word's identifiers, four bytes each; a word met before is looked up."""
+        """Each word's identifiers; a word met before is looked up."""
         loaded = _tokenizer(vocabulary)[0]
-        known: dict[bytes, bytes] = {}
+        known: dict[bytes, np.ndarray] = {}
         for batch in batches:
             for key, bucket, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = _unpacked(blob)
+                sizes, raw = _unpacked(blob)
+                raw, ends = raw.tobytes(), np.cumsum(sizes).tolist()
+                own = [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
                 new = [w for w in own if w not in known]
                 for i in range(0, len(new), _ENCODE_BATCH):
                     part = new[i : i + _ENCODE_BATCH]
-                    for w, e in zip(part, loaded.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                        known[w] = np.array(e.ids, np.int32).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([bucket], pa.int32()), pa.array([_packed([known[w] for w in own])])], ["block", "bucket", "words"])
+                    for w, e in zip(part, loaded.encode_batch_fast([w.decode(errors="replace") for w in part], add_special_tokens=False), strict=True):
+                        known[w] = np.array(e.ids, "<i4").tobytes()
+                found = [known[w] for w in own]
+                counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+                ids = np.frombuffer(b"".join(found), "<i4")
+                yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([bucket], pa.int32()), pa.array([_packed(counts, np.frombuffer(_planes(ids), np.uint8))])], ["block", "bucket", "words"])
 
     @tidy
     def placed(batches):
         """A row for each block: its documents as positions of words."""
-        for key, own, block in _blocks(batches):
-            at, dealt = _dealt(block, buckets)
-            flat = np.fromiter((at[w] for ws in block for w in ws), np.int32, sum(map(len, block)))
-            sizes = np.fromiter(map(len, block), np.int32, len(block))
-            blob = zlib.compress(flat.tobytes(), 1)
+        for block in _blocks(batches, buckets):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([key]), pa.array([own], pa.list_(pa.int64())), pa.array([sizes.tobytes()]), pa.array([blob]), pa.array([sum(map(bool, dealt))], pa.int32()), pa.array([1])],
-                ["block", "ids", "sizes", "places", "parts", "n"],
+                [pa.array([block.key]), pa.array([block.ids.to_pylist()], pa.list_(pa.int64())), pa.array([block.sizes.tobytes()]), pa.array([short(_planes(block.places))]), pa.array([len(np.unique(block.bucket))], pa.int32())],
+                ["block", "ids", "sizes", "places", "parts"],
             )
 
     def joined(documents: pa.Table, table: pa.Table) -> pa.Table:
         """The documents of one block; blocks that are equal in all rows come together."""
-        table = table.sort_by("bucket")
         blobs = dict(zip(table.column("bucket").to_pylist(), table.column("words").to_pylist(), strict=True))
         if not documents.num_rows or len(blobs) != documents.column("parts")[0].as_py():
             raise RuntimeError("a block of documents changed between two readings of the input; write the input as a table first")
-        # Identifiers meet the vocabulary's pieces, whose number is fixed, once for each distinct word.
-        vocabulary_pieces = _tokenizer(vocabulary)[1]
-        found = [np.frombuffer(x, np.int32).tolist() for b in sorted(blobs) for x in _unpacked(blobs[b])]
-        ids, texts = [" ".join(map(str, x)) for x in found], [" ".join(map(vocabulary_pieces.__getitem__, x)) for x in found]
+        found = [_unpacked(blobs[b]) for b in sorted(blobs)]
+        counts = np.concatenate([x[0] for x in found]) if found else np.zeros(0, np.int64)
+        ids = np.concatenate([_unplaned(x[1]) for x in found]) if found else np.zeros(0, np.int64)
+        starts = np.cumsum(counts) - counts
+        places = _unplaned(unshort(documents.column("places")[0].as_py()))
         sizes = np.frombuffer(documents.column("sizes")[0].as_py(), np.int32)
-        places = np.frombuffer(zlib.decompress(documents.column("places")[0].as_py()), np.int32).tolist()
-        numbers, pieces, at = [], [], 0
-        for n in sizes.tolist():
-            own = places[at : at + n]
-            # A word of control characters that the tokenizer drops has no identifiers.
-            numbers.append(" ".join(x for p in own if (x := ids[p])))
-            pieces.append(" ".join(x for p in own if (x := texts[p])))
-            at += n
-        doc = documents.column("ids")[0].as_py()
-        if digests:
-            sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
-            columns = [pa.array([len(x.split(" ")) if x else 0 for x in numbers], pa.int64()), pa.array(map(sha, numbers), pa.string()), pa.array(map(sha, pieces), pa.string())]
-        else:
-            columns = [pa.array([np.fromstring(x, np.int32, sep=" ") if x else [] for x in numbers], pa.list_(pa.int32())), pa.array(pieces, pa.string())]
-        out = pa.table([pa.array(doc, pa.int64()), *columns], names=["doc_id", *names])
-        del found, ids, texts, numbers, pieces
+        # A word of control characters that the tokenizer drops has no identifiers.
+        own = counts[places]
+        edges = np.concatenate([[0], np.cumsum(own)])
+        tokens = ids[_ranges(starts[places], own, edges)]
+        cuts = edges[np.concatenate([[0], np.cumsum(sizes)])]
+        _, numbers, pieces = _tokenizer(vocabulary)
+        columns = [pa.array(np.diff(cuts))] if digests else [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(tokens, pa.int32()))]
+        for strings in (numbers, pieces) if digests else (pieces,):
+            text, at = strings.joined(tokens)
+            at, raw = at[cuts], memoryview(text)
+            # Without the separator behind the last.
+            parts_ = [raw[a : max(a, b - 1)] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            columns.append(pa.array([hashlib.sha256(x).hexdigest() if digests else x.tobytes().decode() for x in parts_], pa.string()))
+        out = pa.table([pa.array(documents.column("ids")[0].as_py(), pa.int64()), *columns], names=["doc_id", *names])
         give_back()
         return pa.concat_tables([out] * documents.num_rows)
 
     names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"]
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "doc_id long, ids array<int>, decoded string"
     distinct = texts.mapInArrow(words, "block binary, bucket int, words binary")
-    table = distinct.repartition(buckets, "bucket").mapInArrow(encoded, "block binary, bucket int, words binary")
-    blocks = texts.mapInArrow(placed, "block binary, ids array<long>, sizes binary, places binary, parts int, n long")
+    table = distinct.repartition(buckets, "bucket").mapInArrow(encoded, "block binary, bucket int, words binary").repartition(parts, "block")
+    blocks = texts.mapInArrow(placed, "block binary, ids array<long>, sizes binary, places binary, parts int").repartition(parts, "block")
     return blocks.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(joined, schema)
