@@ -76,15 +76,18 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calls_and_results(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """A user's turn as a call that refers to the call two turns before, an assistant's turn as the result of the turn before."""
+    """An assistant's turn as the result of the turn before, any other turn as a call that refers to the call two turns before.
+
+    The table holds no calls.
+    """
     number = lambda turn: F.concat(F.lit("call-"), turn.cast("string"))
-    rows = conversations.select("conv_id", "turn", "role", "text")
-    users = rows.where("role = 'user'")
+    rows = conversations.select("conv_id", "turn", "text", (F.coalesce("role", F.lit("")) == "assistant").alias("answer"))
+    asked = rows.where(~F.col("answer"))
     later = F.col("turn") >= 2
     arguments = F.to_json(F.struct(F.col("text").alias("query"), "turn", F.when(later, number(F.col("turn") - 2)).alias("after")))
     refers = F.when(later, F.array(number(F.col("turn") - 2))).otherwise(F.expr("cast(array() as array<string>)"))
-    calls = users.select("conv_id", "turn", number(F.col("turn")).alias("call_id"), F.when(later, "continue").otherwise("search").alias("name"), arguments.alias("arguments"), refers.alias("refers"))
-    results = rows.where("role = 'assistant'").select("conv_id", "turn", number(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    calls = asked.select("conv_id", "turn", number(F.col("turn")).alias("call_id"), F.when(later, "continue").otherwise("search").alias("name"), arguments.alias("arguments"), refers.alias("refers"))
+    results = rows.where("answer").select("conv_id", "turn", number(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
     return calls, results
 
 

@@ -8,10 +8,10 @@ around equal anchors need be compared.  An anchor owns a run of windows; the
 bytes of the run are its segment.
 
 * Segments of equal bytes (128-bit hash) repeat as wholes.
-* Other segments under one anchor form a block.  Its suffixes are sorted, the
-  nearest suffixes in suffix order that start earlier (and those that start
-  later) in the block's text give each position's longest earlier (and later)
-  match, and positions whose match reaches ``length`` are repeated.
+* Other segments under one anchor form a block.  Its suffixes are sorted, and
+  in suffix order the previous and next smaller place give each place's
+  longest previous factor (the previous and next larger one its longest next
+  factor); places whose factor reaches ``length`` are repeated.
 * A block beyond ``BLOCK_SEGMENTS`` different segments (a passage in very many
   contexts) is not gathered: its runs of windows are halved, and halves meet
   by the bytes that all their windows share, again and again, until blocks
@@ -19,7 +19,9 @@ bytes of the run are its segment.
 
 Documents are never paired.  Defined cases: null is the empty text; texts
 under ``length`` bytes repeat nothing; rows of equal number and text are two
-texts, so each repeats the other; runs of one character anchor every byte.
+texts, so each repeats the other; runs of one character anchor every byte;
+texts of any length are read whole, anchored in parts; an empty table gives an
+empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ GRAM = 64
 BLOCK_SEGMENTS = 512
 _PLACE = 26
 _BITS = 12
+#: Windows of a text that are anchored at a time.
+PART = 1 << 25
 
 def _window_min(values: np.ndarray, width: int) -> np.ndarray:
     """Least value of each window, by prefix and suffix minima of blocks."""
@@ -51,21 +55,33 @@ def _window_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(text, anchor, first window, last window, hash) of the anchors of one block, places within the block."""
+    """(text, anchor, first window, last window, hash) of the anchors of one block, places within the block.
+
+    Longer blocks (one text) go in parts of ``PART`` windows, as places within a part must fit ``_PLACE`` bits.
+    """
     if length >= 1 << _BITS:
         raise ValueError(f"length must be under {1 << _BITS}")
-    if len(data) < length:
+    parts = []
+    for at in range(0, max(len(data) - length + 1, 0), PART):
+        end = min(at + PART + length - 1, len(data))
+        text, place, first, last, value = _anchors(data[at:end], np.clip(offsets - at, 0, end - at), length, gram)
+        parts.append((text, place + at, first + at, last + at, value))
+    if not parts:
         return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
+    return parts[0] if len(parts) == 1 else tuple(map(np.concatenate, zip(*parts, strict=True)))
+
+
+def _anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     at = np.arange(len(data) - gram + 1)
     hashes = Hasher(data).ranges(at, at + gram)
     low = np.uint64((1 << _PLACE) - 1)
     # The last of equal hashes wins: places count down within the low bits.
-    ordered = (hashes & ~low) | (low - (at.astype(np.uint64) & low))
+    ordered = (hashes & ~low) | (low - at.astype(np.uint64))
     least = _window_min(ordered, length - gram + 1)
     starts = np.arange(len(least))
-    place = starts + ((low - (least & low)).astype(np.int64) - starts) % (1 << _PLACE)
+    place = (low - (least & low)).astype(np.int64)
     text = np.searchsorted(offsets, starts, side="right") - 1
-    valid = starts + length <= offsets[text + 1]
+    valid = starts + length <= offsets[np.minimum(text + 1, len(offsets) - 1)]
     starts, place, text = starts[valid], place[valid], text[valid]
     new = np.ones(len(starts), bool)
     new[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1])
@@ -76,20 +92,36 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     return text[first], place[first], starts[first], starts[last], hashes[place[first]]
 
 
-def repeated_positions(segments: list[bytes], length: int = LENGTH) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For each segment the starts that have an earlier match of ``length`` bytes, and those with a later one.
+def _smaller_before(values: np.ndarray) -> np.ndarray:
+    """For each place the nearest one before it that holds a smaller value, -1 if there is none, by minima of doubling spans."""
+    n = len(values)
+    spans = [values]
+    while (width := 1 << len(spans)) <= n:
+        spans.append(np.minimum(spans[-1][: n - width + 1], spans[-1][width // 2 :]))
+    # Spans that end before the place and hold nothing smaller are skipped, longest first.
+    at = np.arange(n)
+    for k in range(len(spans) - 1, -1, -1):
+        begin = at - (1 << k)
+        free = begin >= 0
+        free[free] = spans[k][begin[free]] > values[free]
+        at[free] = begin[free]
+    return at - 1
+
+
+def previous_factors(segments: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(previous, next, edges): for each place of the joined segments the longest earlier and the longest later match, at most ``length``.
 
     Ranks by prefix doubling sort the suffixes by their first ``length``
-    bytes; in this order the previous and next smaller position hold the
-    longest earlier match, so it reaches ``length`` exactly if one of the two
-    neighbours of equal rank starts earlier.
+    bytes, equals by place.  In this order the previous and the next smaller
+    place hold the longest earlier match, the previous and the next larger
+    place the longest later one; common prefixes come from the ranks of the
+    doubling.  No match crosses a segment's end.
     """
     sizes = np.array([len(s) for s in segments])
     ends = np.cumsum(sizes)
     total = int(ends[-1])
     raw = np.frombuffer(b"".join(segments), np.uint8).astype(np.int64) + 1
-    which = np.repeat(np.arange(len(segments)), sizes)
-    room = ends[which] - np.arange(total)
+    room = np.repeat(ends, sizes) - np.arange(total)
     # Seven bytes, with 0 for those beyond a segment's end, fit one number.
     done, rank = min(7, length), np.zeros(total, np.int64)
     for i in range(done):
@@ -98,6 +130,7 @@ def repeated_positions(segments: list[bytes], length: int = LENGTH) -> tuple[lis
         ahead[room <= i] = 0
         rank = rank * 257 + ahead
     rank = np.unique(rank, return_inverse=True)[1].astype(np.int64) + 1
+    ranks = [(done, rank)]
     while done < length:
         step = min(done, length - done)
         ahead = np.zeros(total, np.int64)
@@ -105,18 +138,39 @@ def repeated_positions(segments: list[bytes], length: int = LENGTH) -> tuple[lis
         ahead[room <= step] = 0
         rank = np.unique(rank * (total + 257) + ahead, return_inverse=True)[1].astype(np.int64) + 1
         done += step
-    places = np.flatnonzero(room >= length)
-    order = places[np.lexsort((places, rank[places]))]
-    same = rank[order][1:] == rank[order][:-1]
-    # Within equal ranks suffixes stand by position: the previous smaller position is the neighbour before, the next one the neighbour after.
-    earlier, later = order[1:][same], order[:-1][same]
-    begin = ends - sizes
+        ranks.append((done, rank))
+    order = np.argsort(rank, kind="stable")
+
+    def common(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Common prefix of suffixes, at most ``length``; 0 where ``two`` is -1."""
+        size, limit = np.zeros(len(one), np.int64), np.where(two < 0, 0, np.minimum(room[one], room[two]))
+        for width, own in reversed(ranks):
+            inside = np.flatnonzero((size + width <= limit) & (size + width <= length))
+            same = inside[own[one[inside] + size[inside]] == own[two[inside] + size[inside]]]
+            size[same] += width
+        for _ in range(min(7, length)):
+            inside = np.flatnonzero(size < np.minimum(limit, length))
+            same = inside[raw[one[inside] + size[inside]] == raw[two[inside] + size[inside]]]
+            if not len(same):
+                break
+            size[same] += 1
+        return size
+
+    out = []
+    for values in (order, total - order):
+        best = np.zeros(total, np.int64)
+        for side in (slice(None), slice(None, None, -1)):
+            own, found = order[side], _smaller_before(values[side])
+            best[own] = np.maximum(best[own], common(own, np.where(found < 0, -1, own[found])))
+        out.append(best)
+    return out[0], out[1], np.concatenate([[0], ends])
 
-    def split(x: np.ndarray) -> list[np.ndarray]:
-        x = np.sort(x)
-        return [p - b for p, b in zip(np.split(x, np.searchsorted(x, ends[:-1])), begin, strict=True)]
 
-    return split(earlier), split(later)
+def repeated_positions(segments: list[bytes], length: int = LENGTH) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each segment the starts that have an earlier match of ``length`` bytes, and those with a later one."""
+    *factors, edges = previous_factors(segments, length)
+    split = lambda x: [np.flatnonzero(x[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+    return split(factors[0] >= length), split(factors[1] >= length)
 
 
 _SPANS = "doc_id long, key long, first long, last long"
@@ -147,7 +201,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                 yield pa.RecordBatch.from_arrays([ids.take(rows), keys.take(rows), pa.array(at), pa.array(value.view(np.int64)), pa.array(digest.view(np.int64))], ["doc_id", "key", "at", "anchor", "segment"])
 
     # Anchor and segment are independent hashes, 128 bits in all.
-    found = docs.select("doc_id", "key", "text").mapInArrow(anchored, "doc_id long, key long, at long, anchor long, segment long")
+    found = cut(docs.select("doc_id", "key", "text").mapInArrow(anchored, "doc_id long, key long, at long, anchor long, segment long"))
     first = F.shiftright("at", 2 * _BITS)
     last = first + F.col("at").bitwiseAND((1 << _BITS) - 1)
     where = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "at")

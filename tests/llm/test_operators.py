@@ -290,6 +290,84 @@ def test_tools(spark):
     assert json.loads(by[(1, "d")]["json"])["arguments"] is None
 
 
+def brute_levels(edges):
+    """Longest paths by memo, None in or behind a cycle; edges: {node: set of nodes}."""
+    level: dict = {x: 0 for x, to in edges.items() if not to}
+    while fresh := {x: 1 + max(level[y] for y in to) for x, to in edges.items() if x not in level and all(y in level for y in to)}:
+        level |= fresh
+    return {x: level.get(x) for x in edges}
+
+
+def test_levels(spark):
+    """Chains, joins of chains, cycles, and random references, against longest paths."""
+    rng, want, edges = random.Random(51), {}, []
+    for conv in range(30):
+        n = rng.randrange(1, 40)
+        to = {i: {rng.randrange(n if conv % 3 == 0 else i) for _ in range(rng.choice([0, 1, 1, 1, 1, 2, 3]))} if i else set() for i in range(n)}
+        if conv % 5 == 0:
+            to |= {i: {i - 1} for i in range(1, n)}
+        want |= {(conv, str(i)): x for i, x in brute_levels(to).items()}
+        edges += [(conv, str(i), str(j)) for i, x in to.items() for j in x] + [(conv, str(i), None) for i in to]
+    # A null beside references is no reference.
+    got = {(r.conv_id, r.call_id): r.level for r in tools.levels(spark.createDataFrame(edges, "conv_id long, call_id string, refers string")).collect()}
+    assert got == want and {None, 0, 1} < set(got.values()) and max(x for x in got.values() if x) >= 10
+
+
+def test_awkward_calls(spark):
+    """Arguments that no JSON reader or writer takes, null keys, ties, whole numbers, and tables without rows."""
+    kinds = "conv_id long, turn long, call_id string, name string, arguments string, refers array<string>, json string"
+    deep = "[" * 20_000
+    calls = [
+        (1, 0, "a", "t", '{"x": "\\ud800"}', None, "clash"), (1, 0, "b", "t", deep, ["a"], ""), (1, 0, "c", "t", '{"x": NaN}', [None, "a"], ""),
+        (1, 0, "d", "t", '{"x": 1.0, "\\u00e9": "\\u0001/"}', ["d2"], ""), (None, 0, "e", "t", "{}", ["a"], ""), (1, 0, None, "t", "{}", ["a"], ""), (1, 0, None, "t", "{}", ["a"], ""),
+        (1, 1, "f", "t", '{"x": null}', [], ""), (1, 1, "f", "t", '{"x": null}', ["a"], ""), (1, 1, "g", None, None, None, ""),
+    ]
+    schemas = {"t": {"type": "object", "properties": {"x": {"type": ["number", "null"]}}}}
+    given = spark.createDataFrame(calls, kinds)
+    results = spark.createDataFrame([(1, 3, "d", 'say "é"\n'), (None, 1, "e", "lost"), (1, 1, None, "lost")], "conv_id long, turn long, call_id string, content string")
+    got = sorted((str(r["conv_id"]), str(r["call_id"]), r["status"], r["level"], r["n_rows"], r["n_missing"], r["json"]) for r in rows(tools.link_calls(given, results, schemas)))
+    none = '{"arguments":null,"call_id":"%s","name":"t","result":null}'
+    assert got == [
+        ("1", "None", "unidentified", None, 1, 0, '{"arguments":{},"call_id":null,"name":"t","result":null}'), ("1", "None", "unidentified", None, 1, 0, '{"arguments":{},"call_id":null,"name":"t","result":null}'),
+        ("1", "a", "invalid", 0, 1, 0, none % "a"), ("1", "b", "invalid", 1, 1, 0, none % "b"), ("1", "c", "invalid", 1, 1, 0, none % "c"),
+        ("1", "d", "linked", 0, 1, 1, '{"arguments":{"x":1,"é":"\\u0001/"},"call_id":"d","name":"t","result":"say \\"é\\"\\n"}'),
+        ("1", "f", "unanswered", 0, 2, 0, '{"arguments":{"x":null},"call_id":"f","name":"t","result":null}'), ("1", "g", "invalid", 0, 1, 0, '{"arguments":null,"call_id":"g","name":null,"result":null}'),
+        ("None", "e", "unidentified", None, 1, 0, '{"arguments":{},"call_id":"e","name":"t","result":null}'),
+    ]
+    assert rows(tools.link_calls(given.limit(0), results.limit(0), schemas)) == []
+    with pytest.raises(ValueError, match="unknown type 'text'"):
+        tools.check_arguments(given, {"t": {"properties": {"x": {"type": ["null", "text"]}}}})
+
+
+def test_the_query_of_tool_calls(spark):
+    """op4 against plain Python over all roles of the smallest conversations."""
+    folder = "/root/testdata/sf0.001"
+    turns = defaultdict(list)
+    for r in spark.read.parquet(f"{folder}/conversations.parquet").collect():
+        turns[r.conv_id].append(r)
+    want = {}
+    for conv, own in turns.items():
+        calls, answers = defaultdict(list), defaultdict(list)
+        for r in own:
+            (answers[r.turn - 1] if r.role == "assistant" else calls[r.turn]).append((r.turn, r.text))
+        level = brute_levels({t: {t - 2} & set(calls) if t >= 2 else set() for t in calls})
+        for t, found in calls.items():
+            args = {"query": None, "turn": t} | ({"after": f"call-{t - 2}"} if t >= 2 else {})
+            texts = [x for _, x in found]
+            result = min(answers[t])[1] if answers[t] else None
+            options = set()
+            for x in texts:
+                own_args = {k: v for k, v in (args | {"query": x}).items() if v is not None}
+                options.add(hashlib.sha256(json.dumps({"arguments": own_args, "call_id": f"call-{t}", "name": "continue" if t >= 2 else "search", "result": result}, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest())
+            valid = all(x is not None for x in texts)
+            want[conv, f"call-{t}"] = (t, level[t], len(found), int(t >= 2 and t - 2 not in calls), "linked" if valid and answers[t] else "unanswered" if valid else "invalid", options)
+    got = rows(queries.op4_tool_links(spark, folder))
+    assert len(got) == len(want) and any(r["level"] for r in got)
+    for r in got:
+        *plain, options = want[r["conv_id"], r["call_id"]]
+        assert [r["turn"], r["level"], r["n_rows"], r["n_missing"], r["status"]] == plain and r["json_sha256"] in options
+
+
 # 5. Substrings
 
 
@@ -327,6 +405,31 @@ def test_previous_factors():
         assert [(s, int(i)) for s, own in enumerate(later) for i in own] == [p for k, p in enumerate(starts) if any(at(p) == at(q) for q in starts[k + 1 :])]
 
 
+@pytest.mark.parametrize("length", [3, 9, 20])
+def test_longest_previous_factors(length):
+    """Longest earlier and later matches of every place, at most ``length``, by comparing all places."""
+    rng = random.Random(length)
+    for _ in range(25):
+        segments = [bytes(rng.choices(b"ab", k=rng.randrange(1, 50))) for _ in range(rng.randrange(1, 6))]
+        previous, following, edges = substrings.previous_factors(segments, length)
+        places = [s[i : i + length] for s in segments for i in range(len(s))]
+        same = lambda x, y: next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))  # noqa: E731, B905
+        assert edges[-1] == len(places)
+        assert previous.tolist() == [max((same(x, y) for y in places[:i]), default=0) for i, x in enumerate(places)]
+        assert following.tolist() == [max((same(x, y) for y in places[i + 1 :]), default=0) for i, x in enumerate(places)]
+
+
+def test_anchors_in_parts(monkeypatch):
+    """A text that is anchored in parts has the anchors of one that isn't; a run of windows may only be cut."""
+    rng = random.Random(12)
+    data = np.frombuffer(("a" * 900 + prose(rng, 600) + "ab" * 700).encode(), np.uint8)
+    one = substrings.anchors(data, np.array([0, 30, len(data)]))
+    monkeypatch.setattr(substrings, "PART", 333)
+    two = substrings.anchors(data, np.array([0, 30, len(data)]))
+    windows = lambda x: {(int(t), int(p), w) for t, p, a, b in zip(*x[:4], strict=True) for w in range(a, b + 1)}
+    assert windows(one) == windows(two) and len(two[0]) > len(one[0])
+
+
 def test_keeping_the_first_copy(spark):
     rng = random.Random(4)
     passage = prose(rng, 200)
