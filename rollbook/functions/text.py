@@ -18,20 +18,22 @@ from .geography import STATE_NAMES, VALID_STATES, lookup
 
 # Patterns of the listings' layout.
 LOCATION = r"(?i)^\s*(.+?)[,.]\s*([A-Za-z0-9 .]+?)\s*([0-9SOIL]{5})(?:-[0-9SOIL]{4})?\s*$"
-LEGAL_WORDS = "INC LLC LTD CORP CORPORATION CENTER CENTRE"
+LEGAL_WORDS = ("INC", "LLC", "LTD", "CORP", "CORPORATION", "CENTER", "CENTRE")
 HEADER_NOISE = (
     r"National Directory|For Code Definitions|See KEY|Treatment Facilities|Substance Abuse and Mental Health Services Administration|"
     r"(?:ment|treatment)\s+Facilities\s+[A-Z ]+$|^\d+$"
 )
+NOTHING = r"^(?:[^A-Za-z0-9]*|[A-Za-z]|(?:[iIl1]\s*){2,})$"
 SECONDARY_UNIT = r"\b(Suite|Ste\.?|Unit|Room|Rm\.?|Floor|Building|Bldg\.?|Apt\.?|#)\b"
 ADDRESS = r"^(?:\d+[A-Za-z.-]*\s+|P\.?\s*O\.?\s+Box\s+|Post Office Box\s+|(?:State|County)?\s*Route\s+\d+|Highway\s+\d+|Rural Route\s+)"
+GLUED, OPEN_BRACKET = r"(?<=\d)(?=[A-Z][a-z])", r"\s+[\(\[]\s*$"
 OWNERSHIP = {"PVTP": "For-profit", "PVTN": "Non-profit", "LCCG": "Public", "STG": "Public", "DDF": "Federal", "IH": "Federal/Tribal", "TBG": "Tribal", "VAMC": "Federal"}
-SETTINGS = "OP RES HI PH OD ODT OIT OMB ORT RD RL RS"
-CENTERS = "SA TX DT HH SUMH MH GH"
-MEDICATIONS = "MU BU NU OTP MM DM BUM UB UN NXN VTRL"
+SETTINGS = ("OP", "RES", "HI", "PH", "OD", "ODT", "OIT", "OMB", "ORT", "RD", "RL", "RS")
+CENTERS = ("SA", "TX", "DT", "HH", "SUMH", "MH", "GH")
+MEDICATIONS = ("MU", "BU", "NU", "OTP", "MM", "DM", "BUM", "UB", "UN", "NXN", "VTRL")
 FLAGS = {"accepts_medicaid": "MD", "accepts_medicare": "MC", "accepts_private_insurance": "PI", "offers_telehealth": "TELE"}
 
-_WORDS = re.compile(rf"\b({LEGAL_WORDS.replace(' ', '|')})\b")
+_WORDS = re.compile(rf"\b({'|'.join(LEGAL_WORDS)})\b")
 
 
 def clean(value: str | None) -> str:
@@ -69,7 +71,7 @@ def clean_text(value: Column, ascii_only: bool = False) -> Column:
 def normalize_key(value: Column, ascii_only: bool = False) -> Column:
     """``key_of`` as a Column."""
     text = F.coalesce(value, F.lit(""))
-    simple = F.regexp_replace(F.regexp_replace(F.upper(text), rf"\b({LEGAL_WORDS.replace(' ', '|')})\b", " "), "[^A-Z0-9]+", "")
+    simple = F.regexp_replace(F.regexp_replace(F.upper(text), rf"\b({'|'.join(LEGAL_WORDS)})\b", " "), "[^A-Z0-9]+", "")
     return simple if ascii_only else F.when(_ascii(text), simple).otherwise(_mapped(key_of, text))
 
 
@@ -105,15 +107,14 @@ def is_header_noise(value: Column) -> Column:
 
 
 def is_city_header(line: Column) -> Column:
-    """All capitals, no digits, three characters or more in at most six words, not a running head."""
-    return (
-        line.rlike(r"^[\p{L}\[~]") & (line == F.upper(line)) & ~line.rlike(r"\p{Nd}") & (F.size(F.split(line, " ")) <= 6) & ~is_header_noise(line) & (F.length(line) >= 3)
-    )
+    """Whether a cleaned line heads a city: three characters or more in capitals without digits, in at most six words, begun by a letter or a scanner's bracket or tilde; no running head."""
+    shape = line.rlike(r"^[\p{L}\[~].{2}") & ~line.rlike(r"\p{Nd}") & ~line.rlike(r"^\S+(?:\s+\S+){6}")
+    return shape & (line == F.upper(line)) & ~is_header_noise(line)
 
 
 def is_noise(line: Column) -> Column:
-    """Blank, a running head, one letter, scanner strokes, or punctuation."""
-    return (line == "") | is_header_noise(line) | line.rlike(r"^[A-Za-z]$") | line.rlike(r"^(?:[iIl1]\s*){2,}$") | line.rlike(r"^[^A-Za-z0-9]+$")
+    """Whether a line carries nothing: no letter or digit, a single letter, scanner strokes, or a running head."""
+    return is_header_noise(line) | line.rlike(NOTHING)
 
 
 def names_and_address(buffer: Column) -> Column:
@@ -122,7 +123,7 @@ def names_and_address(buffer: Column) -> Column:
     two = F.try_element_at(lines, F.lit(-1)).rlike("(?i)" + SECONDARY_UNIT) & (F.size(lines) >= 2)
     count = F.size(lines) - F.when(two, 2).otherwise(1)
     raw = F.when(two, F.concat(F.try_element_at(lines, F.lit(-2)), F.lit(", "), F.try_element_at(lines, F.lit(-1)))).otherwise(F.try_element_at(lines, F.lit(-1)))
-    address = F.trim(F.regexp_replace(F.regexp_replace(raw, r"(?<=\d)(?=[A-Z][a-z])", " "), r"\s+[\(\[]\s*$", ""))
+    address = F.trim(F.regexp_replace(F.regexp_replace(raw, GLUED, " "), OPEN_BRACKET, ""))
     names = F.slice(lines, F.lit(1), F.greatest(count, F.lit(0)))
     weak, none = ~address.rlike("(?i)" + ADDRESS), F.size(names) == 0
     warnings = F.array_compact(F.array(F.when(weak, "weak_address_pattern"), F.when(none, "missing_facility_name")))
@@ -150,7 +151,7 @@ def canonical_codes(value: Column) -> Column:
 
 def derived_fields(codes: Column) -> dict[str, Column]:
     """Ownership, centers, settings, medication lists and payment flags of an array of codes."""
-    chosen = lambda listed: F.array_join(F.filter(F.array(*map(F.lit, listed.split())), lambda c: F.array_contains(codes, c)), "|")
+    chosen = lambda listed: F.array_join(F.filter(F.array(*map(F.lit, listed)), lambda c: F.array_contains(codes, c)), "|")
     owners = F.array_compact(F.transform(codes, lambda c: lookup(OWNERSHIP, c)))
     return {
         "ownership_type": F.array_join(F.array_sort(F.array_distinct(owners)), "|"),

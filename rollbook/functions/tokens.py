@@ -23,6 +23,13 @@ NUMBERED = re.compile(r"[FN]\d{1,3}")
 CONTACT_WORDS = {"PHONE", "INTAKE", "TOLL", "FREE", "HOTLINE"}
 ALIASES = {"PL": "PI"}
 BULLETS = "♦◆◇◊■▪●•·�"
+MARKERS = (
+    (r"\b[Ii]'(?=\d)", "F"),
+    (r"(?<=\d)(?=[FN]\d)", " "),
+    (r"\(cid:\d+\)", " | "),
+    (f"[{BULLETS}]+", " | "),
+    (r"(?<![A-Za-z0-9])[sS](?![A-Za-z0-9])", " | "),
+)
 
 
 def normalize_markers(text: str | None) -> str:
@@ -35,7 +42,7 @@ def normalize_markers(text: str | None) -> str:
         else:
             out.append(char)
     value = unicodedata.normalize("NFKC", "".join(out))
-    for pattern, new in ((r"\b[Ii]'(?=\d)", "F"), (r"(?<=\d)(?=[FN]\d)", " "), (r"\(cid:\d+\)", " | "), (f"[{BULLETS}]+", " | "), (r"(?<![A-Za-z0-9])[sS](?![A-Za-z0-9])", " | ")):
+    for pattern, new in MARKERS:
         value = re.sub(pattern, new, value)
     return clean(value)
 
