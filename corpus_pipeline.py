@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.llm import bpe, language, lines, mixing, neardup
-from rollbook.llm.common import packed, text_key, unpacked
+from rollbook.llm.common import cut, packed, text_key, unpacked
 from rollbook.llm.queries import vocabulary_path
 
 #: A document goes if its text has no letters or no language reaches this share.
@@ -22,7 +22,7 @@ MIN_LANGUAGE_SCORE = 0.4
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose text has a language."""
+    """Keep documents whose text has a language; one without letters (null, empty) goes, other columns and repeated rows stay as they are."""
     model = language.learn(docs, F.coalesce(language.remainder() != 0, F.lit(False)))
     inner = docs.select("doc_id", "text", F.struct(*docs.columns).alias("held"))
     out = language.identify(inner, model, ("held",))
@@ -30,7 +30,10 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_deduped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take out later copies of lines; a document of which no word is left goes."""
+    """Take out later copies of lines; a document of which no word is left goes, one that had none before stays.
+
+    ``n_chars`` follows the text.  Repeated rows keep the same lines.
+    """
     out = lines.dedup_lines(docs)
     worded = F.col("left").rlike(r"[^\x20\x09-\x0D]")
     columns = [F.col("left").alias("text") if c == "text" else F.length("left").cast("long").alias(c) if c == "n_chars" else F.col(f"held.{c}").alias(c) for c in docs.columns]
@@ -78,14 +81,21 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
-    from rollbook.llm.common import cut
-
+    """All stages over ``documents``, each written to the shared folder and read again; only the last stage's table stays there."""
     cut(spark.range(1))  # so that a session without a checkpoint folder gets one
     folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     folder = f"{folder.rstrip(os.sep)}/corpus-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            _remove(spark, before)
+        before = f"{folder}/{name}"
     return docs
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of any store that Spark reaches."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
