@@ -114,9 +114,11 @@ class _Block:
 
     def words(self) -> Iterator[tuple[int, bytes]]:
         """(bucket, packed words) of the buckets that the block has words for."""
+        if not len(self.bucket):
+            return
         edges = np.concatenate([[0], np.cumsum(self._lengths)])
         raw = self._data[_ranges(self._starts, self._lengths, edges)]
-        cuts = np.flatnonzero(np.append(True, self.bucket[1:] != self.bucket[:-1])) if len(self.bucket) else self.bucket
+        cuts = np.flatnonzero(np.append(True, self.bucket[1:] != self.bucket[:-1]))
         for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(self.bucket)], strict=True):
             yield int(self.bucket[a]), _packed(self._lengths[a:b], raw[edges[a] : edges[b]])
 

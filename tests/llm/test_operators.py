@@ -777,6 +777,9 @@ def test_bpe(spark):
     assert Counter(tuple(r.values()) for r in got) == want
     assert Counter((r["doc_id"], tuple(r["ids"]), r["decoded"]) for r in rows(bpe.encode(table(spark, given), path, buckets=3))) == decoded
     assert rows(bpe.digests(table(spark, []), path)) == []
+    # Blocks without a word, and one whose texts are all null.
+    blank = [(1, None, "x", "a"), (2, " \n", "x", "a"), (3, "", "x", "a"), (1, None, "x", "a")]
+    assert Counter(tuple(r.values()) for r in rows(bpe.digests(table(spark, blank), path))) == Counter((i, 0, sha(""), sha("")) for i, *_ in blank)
 
 
 def test_empty_tables(spark):
