@@ -40,6 +40,8 @@ from .common import Hasher, give_back, mix, short, string_blocks, tidy, unshort,
 BLOCK_BYTES = 4 << 20
 #: Bytes of text for each bucket of words, and for each partition in which blocks meet their identifiers.
 BUCKET_BYTES = 16 << 20
+#: Bytes that are hashed at a time, and words or identifiers that are written out at a time, to bound a task's memory.
+HASHED_BYTES, CHUNK = 1 << 20, 1 << 17
 _ENCODE_BATCH = 20_000
 _LOADED: dict[str, tuple] = {}
 
@@ -78,7 +80,11 @@ class Strings:
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """All places of the ranges, in order."""
-    return np.repeat(starts - edges[:-1], sizes) + np.arange(edges[-1])
+    small = max(int(edges[-1]), int(starts.max(initial=0))) < 2**31
+    kind = np.int32 if small else np.int64
+    out = np.repeat((starts - edges[:-1]).astype(kind), sizes)
+    out += np.arange(edges[-1], dtype=kind)
+    return out
 
 
 class _Block:
@@ -89,7 +95,7 @@ class _Block:
         self.key = xxhash.xxh3_128_digest(data.tobytes() + offsets.tobytes() + repr(ids.to_pylist()).encode())
         starts, ends, text = word_ranges(data, offsets)
         self.sizes = np.bincount(text, minlength=len(ids)).astype(np.int32)
-        hashes = Hasher(data).ranges(starts, ends)
+        hashes = self._hashes(starts, ends)
         own, first, at = np.unique(hashes, return_index=True, return_inverse=True)
         starts, ends = self._distinct(starts, ends, first, at)
         self.bucket = ((mix(own) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
@@ -99,13 +105,23 @@ class _Block:
         self.places, self.bucket = place[at], self.bucket[order]
         self._starts, self._lengths = starts[order], (ends - starts)[order]
 
+    def _hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The words' hashes, a megabyte at a time to save memory; a hash depends on a word's bytes alone."""
+        cuts = np.searchsorted(starts, np.arange(0, max(len(self._data), 1), HASHED_BYTES))
+        parts = [np.zeros(0, np.uint64)]
+        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(starts)], strict=True):
+            if a < b:
+                base = starts[a]
+                parts.append(Hasher(self._data[base : ends[b - 1]]).ranges(starts[a:b] - base, ends[a:b] - base))
+        return np.concatenate(parts)
+
     def _distinct(self, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The first of each distinct word, after a look at the bytes of all others."""
         sizes = ends - starts
         if (sizes != sizes[first][at]).any():
             raise RuntimeError("two words have one hash")
-        for a in range(0, len(starts), 1 << 18):
-            part = slice(a, a + (1 << 18))
+        for a in range(0, len(starts), CHUNK):
+            part = slice(a, a + CHUNK)
             edges = np.concatenate([[0], np.cumsum(sizes[part])])
             one, two = (_ranges(x, sizes[part], edges) for x in (starts[part], starts[first][at[part]]))
             if (self._data[one] != self._data[two]).any():
@@ -215,16 +231,27 @@ def _through_words(docs: DataFrame, vocabulary: str, buckets: int | None, digest
         # A word of control characters that the tokenizer drops has no identifiers.
         own = counts[places]
         edges = np.concatenate([[0], np.cumsum(own)])
-        tokens = ids[_ranges(starts[places], own, edges)]
-        cuts = edges[np.concatenate([[0], np.cumsum(sizes)])]
+        last = np.concatenate([[0], np.cumsum(sizes)])
+        cuts = edges[last]
         _, numbers, pieces = _tokenizer(vocabulary)
-        columns = [pa.array(np.diff(cuts))] if digests else [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(tokens, pa.int32()))]
-        for strings in (numbers, pieces) if digests else (pieces,):
-            text, at = strings.joined(tokens)
-            at, raw = at[cuts], memoryview(text)
-            # Without the separator behind the last.
-            parts_ = [raw[a : max(a, b - 1)] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            columns.append(pa.array([hashlib.sha256(x).hexdigest() if digests else x.tobytes().decode() for x in parts_], pa.string()))
+        columns: list[list] = [[] for _ in names]
+        first = 0
+        while first < len(sizes):
+            # Whole documents of so many identifiers, or one longer document.
+            end = max(first + 1, int(np.searchsorted(cuts, cuts[first] + CHUNK, side="right")) - 1)
+            a, b = int(last[first]), int(last[end])
+            tokens = ids[_ranges(starts[places[a:b]], own[a:b], edges[a : b + 1] - edges[a])]
+            at = cuts[first : end + 1] - cuts[first]
+            columns[0] += np.diff(at).tolist() if digests else np.split(tokens.astype(np.int32), at[1:-1])
+            for column, strings in zip(columns[1:], (numbers, pieces) if digests else (pieces,), strict=True):
+                text, places_ = strings.joined(tokens)
+                places_, raw = places_[at].tolist(), memoryview(text)
+                # Without the separator behind the last.
+                parts_ = [raw[x : max(x, y - 1)] for x, y in zip(places_[:-1], places_[1:], strict=True)]
+                column += [hashlib.sha256(x).hexdigest() if digests else x.tobytes().decode() for x in parts_]
+            first = end
+        kinds = (pa.int64(), pa.string(), pa.string()) if digests else (pa.list_(pa.int32()), pa.string())
+        columns = [pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)]
         out = pa.table([pa.array(documents.column("ids")[0].as_py(), pa.int64()), *columns], names=["doc_id", *names])
         give_back()
         return pa.concat_tables([out] * documents.num_rows)
