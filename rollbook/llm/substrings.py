@@ -108,9 +108,13 @@ def _smaller_before(values: np.ndarray) -> np.ndarray:
     return at - 1
 
 
-def previous_factors(segments: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def previous_factors(segments: list[bytes], length: int = LENGTH, halfway: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(previous, next, edges): for each place of the joined segments the longest earlier and the longest later match, at most ``length``.
 
+    With ``halfway`` only suffixes that share their first bytes with another,
+    as far as the doubling's last step but one, are ordered; shorter factors
+    are given as 0.  The longest match of such a suffix is such a suffix too.
+
     Ranks by prefix doubling sort the suffixes by their first ``length``
     bytes, equals by place.  In this order the previous and the next smaller
     place hold the longest earlier match, the previous and the next larger
@@ -139,7 +143,12 @@ def previous_factors(segments: list[bytes], length: int = LENGTH) -> tuple[np.nd
         rank = np.unique(rank * (total + 257) + ahead, return_inverse=True)[1].astype(np.int64) + 1
         done += step
         ranks.append((done, rank))
-    order = np.argsort(rank, kind="stable")
+    if halfway:
+        width, half = ranks[max(len(ranks) - 2, 0)]
+        kept = np.flatnonzero((np.bincount(half)[half] > 1) & (room >= width))
+    else:
+        kept = np.arange(total)
+    order = kept[np.argsort(rank[kept], kind="stable")]
 
     def common(one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Common prefix of suffixes, at most ``length``; 0 where ``two`` is -1."""
@@ -168,7 +177,7 @@ def previous_factors(segments: list[bytes], length: int = LENGTH) -> tuple[np.nd
 
 def repeated_positions(segments: list[bytes], length: int = LENGTH) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """For each segment the starts that have an earlier match of ``length`` bytes, and those with a later one."""
-    *factors, edges = previous_factors(segments, length)
+    *factors, edges = previous_factors(segments, length, halfway=True)
     split = lambda x: [np.flatnonzero(x[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
     return split(factors[0] >= length), split(factors[1] >= length)
 
