@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,12 @@ EARLY_YEARS = (1998, 2000, 2001)
 PRIORITY_YEARS = (1998, 2000, 2001, 2003, 2004, 2017, 2018, 2021)
 
 
+# Phrases of the rights scan, and the pages that are read at least.
+NOTICE, NOTICE_PAGE, FEE = "PUBLIC DOMAIN NOTICE", "PUBLIC DOMAIN", "DISTRIBUTED FOR A FEE"
+REPRODUCTION = ("MAY BE REPRODUCED", "REPRODUCED OR COPIED")
+LEAST_PAGES = 20
+
+
 def share(condition: Column) -> Column:
     """Mean of a condition; null counts as false."""
     return F.avg(F.coalesce(condition, F.lit(False)).cast("double"))
@@ -131,3 +139,21 @@ def release_gates(annual: DataFrame, geocoded: DataFrame, gold: DataFrame, linka
     }
     reasons = F.array_compact(F.array(*[F.when(~F.coalesce(F.col(k), false), text) for k, text in named.items()]))
     return out.withColumn("blocking_reasons", F.array_join(reasons, "; ")).withColumn("release_ready", F.size(reasons) == 0)
+
+
+def rights_scan(pages: DataFrame, by: str, whole: bool = False) -> DataFrame:
+    """Rights phrases in the pages (``by``, page, start_page, text) of each file.
+
+    The first ``LEAST_PAGES`` pages are read, or up to the start page where that
+    is later; ``whole`` reads all.  A phrase counts within one page; a null text
+    holds none, and a null start page counts as the first.
+    """
+    read = pages if whole else pages.where(F.col("page") <= F.greatest(F.col("start_page"), F.lit(LEAST_PAGES)))
+    text = F.upper(F.coalesce("text", F.lit("")))
+    held = lambda *phrases: F.max(reduce(Column.__or__, [text.contains(p) for p in phrases]))
+    out = read.groupBy(by).agg(
+        held(NOTICE).alias("public_domain_notice"), held(*REPRODUCTION).alias("reproduction_permission"), held(FEE).alias("fee_restriction_found"),
+        F.min(F.when(text.contains(NOTICE_PAGE), F.col("page"))).alias("notice_pdf_page"),
+    )
+    eligible = F.col("public_domain_notice") & F.col("reproduction_permission")
+    return out.withColumns({"archive_eligible": eligible, "manual_review_required": ~eligible})

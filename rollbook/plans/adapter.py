@@ -68,6 +68,11 @@ FROM fac WHERE ck % 4 <> 0""",
     "gold_now": """
 SELECT source_anchor_id, directory_year, name1, name2, address1, city, state, zip, CASE WHEN ck % 10 = 0 THEN 'OP PI SF' ELSE 'PI OP' END AS service_codes,
   source_page, source_column, source_record_order, listing_id, ck FROM fac WHERE ck % 53 <> 0""",
+    "notices": """
+SELECT source, cast(1 + floor(doc_id / 20) AS bigint) AS page, cast(1 AS bigint) AS start_page,
+  concat(coalesce(text, ''), CASE WHEN doc_id % 97 = 5 THEN ' Public Domain Notice' WHEN doc_id % 89 = 7 THEN ' This may be reproduced' WHEN doc_id % 83 = 11 THEN ' REPRODUCED or copied'
+    WHEN doc_id % 79 = 13 THEN ' distributed for a fee' WHEN doc_id % 71 = 2 THEN ' in the public domain' ELSE '' END) AS text
+FROM documents""",
 }
 
 

@@ -16,7 +16,7 @@ from .oracles import ORACLE_TEXTS
 
 #: Industries, break of the external series, and transitions of the derived panel.
 NAICS, BREAK = ("621420", "623220"), 1998
-TRANSITIONS = [(y, y + 1) for y in range(1995, 2000)]
+TRANSITIONS = [(y, y + 1) for y in range(1995, 2001)]
 KNOWN = "OP RES HI SA DT MH PVTN PVTP LCCG STG VAMC OTP MU BU NU MD MC PI SF TELE SS CM HH TX ODT".split()
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,10 +102,7 @@ def unknown_tokens(p):
 
 @query
 def rights_audit(p):
-    text = F.lower(F.col("text"))
-    rows = p.documents.select("source", "doc_id", text.contains("license").alias("notice"), text.contains("copy").alias("reproduction"))
-    out = rows.groupBy("source").agg(F.max("notice").alias("notice"), F.max("reproduction").alias("reproduction"), F.min(F.when(F.col("notice"), F.col("doc_id"))).alias("first_page"))
-    return out.withColumn("eligible", F.col("notice") & F.col("reproduction"))
+    return quality.rights_scan(p.notices, "source", whole=True)
 
 
 # Services

@@ -7,7 +7,7 @@ DIVISION = "CASE state WHEN 'OR' THEN 'Pacific' WHEN 'NY' THEN 'Middle Atlantic'
 PNW = "CASE WHEN state = 'OR' THEN 'PNW' ELSE 'Not PNW' END"
 KEY = lambda x: f"regexp_replace(regexp_replace(upper({x}), '\\b(INC|LLC|LTD|CORP|CORPORATION|CENTER|CENTRE)\\b', ' ', 'g'), '[^A-Z0-9]+', '', 'g')"
 AUDIT = lambda x: f"regexp_replace(upper({x}), '[^A-Z0-9]', '', 'g')"
-YEARS = "(VALUES (1995, 1996), (1996, 1997), (1997, 1998), (1998, 1999), (1999, 2000)) t(earlier, later)"
+YEARS = "(VALUES (1995, 1996), (1996, 1997), (1997, 1998), (1998, 1999), (1999, 2000), (2000, 2001)) t(earlier, later)"
 
 _EXPECTED = """expected AS (SELECT directory_year, CASE WHEN directory_year % 4 <> 0 THEN count(*) - directory_year % 7 END AS expected_listings,
   CASE WHEN directory_year % 3 = 0 THEN 'no' ELSE 'yes' END AS acceptance_reference FROM fac GROUP BY directory_year)"""
@@ -97,7 +97,11 @@ SELECT structural_pass, count_reference_pass, gold_target, gold_pass, round(high
   CASE WHEN NOT gold_pass THEN 'manual gold sample is incomplete or below target' END, CASE WHEN NOT high >= 0.9 THEN 'high-confidence county assignment is below 90% or absent' END], lambda x: x IS NOT NULL), '; ') AS blocking_reasons,
   structural_pass AND count_reference_pass AND gold_pass AND high >= 0.9 AS release_ready FROM g""",
     "unknown_tokens": "SELECT directory_year::bigint AS directory_year, string_agg(DISTINCT 'ZZQ', '|') AS tokens FROM fac WHERE ck % 17 = 0 GROUP BY 1",
-    "rights_audit": "SELECT source, bool_or(contains(lower(text), 'license')) AS notice, bool_or(contains(lower(text), 'copy')) AS reproduction, min(doc_id) FILTER (contains(lower(text), 'license')) AS first_page, bool_or(contains(lower(text), 'license')) AND bool_or(contains(lower(text), 'copy')) AS eligible FROM documents GROUP BY 1",
+    "rights_audit": """
+SELECT source, bool_or(contains(u, 'PUBLIC DOMAIN NOTICE')) AS public_domain_notice, bool_or(regexp_matches(u, 'MAY BE REPRODUCED|REPRODUCED OR COPIED')) AS reproduction_permission,
+  bool_or(contains(u, 'DISTRIBUTED FOR A FEE')) AS fee_restriction_found, min(page) FILTER (contains(u, 'PUBLIC DOMAIN')) AS notice_pdf_page,
+  public_domain_notice AND reproduction_permission AS archive_eligible, NOT (public_domain_notice AND reproduction_permission) AS manual_review_required
+FROM (SELECT source, page, upper(text) AS u FROM notices) b GROUP BY 1""",
     "xlsx_services": f"WITH {_XLSX} SELECT code, listing_id, directory_year::bigint AS directory_year, position, category, label FROM xs",
     "xlsx_metrics": f"""WITH {_EXPECTED}, {_XLSX}, f AS (SELECT directory_year, count(*) AS facility_rows, sum((state NOT IN ({VALID}))::int)::bigint AS invalid_state_records FROM wb GROUP BY 1),
 s AS (SELECT directory_year, count(DISTINCT listing_id) AS served FROM xs GROUP BY 1), u AS (SELECT directory_year, count(DISTINCT code) AS unknown FROM tok WHERE code NOT IN (SELECT code FROM cb) GROUP BY 1)

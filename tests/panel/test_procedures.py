@@ -13,7 +13,7 @@ from rollbook import runs
 from rollbook.functions import text as T
 from rollbook.functions.geography import geography
 from rollbook.functions.tokens import Codes, normalize_markers, service_tokens
-from rollbook.operators import bounds, linkage, records, sampling, status
+from rollbook.operators import bounds, linkage, quality, records, sampling, status
 from rollbook.sources import readers, writers
 from rollbook.streaming import incremental
 
@@ -178,3 +178,16 @@ def test_expand_replaces_from_the_same_stratum(spark):
     few = sampling.expand(reviewed, frame, 3, seed=3).collect()
     assert [r.replaces for r in sorted(few, key=lambda r: r.replaces)] == ["o1", "o2"]
     assert sampling.expand(reviewed, frame, 1, seed=3).count() == 0
+
+
+def test_rights_scan(spark):
+    rows = [
+        ("a", 1, 3, "A Public Domain Notice"), ("a", 20, 3, "it may be reproduced"), ("a", 21, 3, "distributed for a fee"), ("a", 2, 3, None),
+        ("b", 25, 30, "public domain"), ("b", 30, 30, "public domain notice"), ("b", 31, 30, "reproduced or copied"), ("c", 1, None, ""), ("c", 2, None, "reproduced or copied"),
+    ]
+    pages = spark.createDataFrame(rows, "file string, page int, start_page int, text string")
+    found = {r["file"]: tuple(r)[1:] for r in quality.rights_scan(pages, "file").collect()}
+    assert found == {"a": (True, True, False, 1, True, False), "b": (True, False, False, 25, False, True), "c": (False, True, False, None, False, True)}
+    whole = {r["file"]: tuple(r)[1:] for r in quality.rights_scan(pages, "file", whole=True).collect()}
+    assert whole["a"][2] and whole["b"][1]
+    assert quality.rights_scan(pages.limit(0), "file").count() == 0
