@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions.text import canonical_codes, normalize_key
 from .quality import EARLY_GATE, EARLY_YEARS, LATE_GATE, share
+from .sampling import CHECKS
 
+# What a check and a completion mark may say.
+ANSWERS, COMPLETION = ("yes", "no", "uncertain"), ("yes", "no")
 PARSED = ("parsed_name1", "parsed_name2", "parsed_address1", "parsed_city", "parsed_state", "parsed_zip", "parsed_service_codes")
 
 
@@ -43,8 +46,7 @@ def compare(reviews: DataFrame, facilities: DataFrame, ascii_only: bool = False)
 
 def year_metrics(compared: DataFrame) -> DataFrame:
     """Accuracies, pass, and the sample size to go on with, per year."""
-    checks = ("name_check", "address_check", "services_check", "boundary_check")
-    uncertain = F.greatest(*[F.coalesce(F.lower(c) == "uncertain", F.lit(False)) for c in checks])
+    uncertain = F.greatest(*[F.coalesce(F.lower(c) == "uncertain", F.lit(False)) for c in CHECKS])
     wrong = ~(F.col("name_accurate") & F.col("address_accurate") & F.col("service_accurate"))
     worst = compared.where(wrong).groupBy("directory_year", "sample_stratum").agg(F.count("*").alias("n")).groupBy("directory_year").agg((F.max("n") / F.sum("n")).alias("largest_error_stratum_share"))
     out = compared.groupBy("directory_year").agg(
@@ -59,6 +61,36 @@ def year_metrics(compared: DataFrame) -> DataFrame:
     return out.withColumn("recommended_sample_size", F.when(F.col("expansion_required") & ~full, F.least(n + 50, F.lit(200))).otherwise(n)).withColumn("blocked_at_200", F.col("expansion_required") & full)
 
 
+def run_summary(metrics: DataFrame, years: list[int]) -> DataFrame:
+    """One row over the yearly metrics: whether every expected year passes without boundary errors, and what is missing or blocked.
+
+    Years are lists joined by bars, as a run has some dozen of them.
+    """
+    expected = metrics.sparkSession.createDataFrame([(y,) for y in years], "year int")
+    both = expected.join(metrics, F.col("year") == F.col("directory_year"), "full")
+    listed = lambda rule, year: F.array_join(F.array_sort(F.collect_set(F.when(rule, F.col(year)))), "|")
+    out = both.agg(listed(F.col("directory_year").isNull(), "year").alias("missing_review_years"), listed(~F.col("pass"), "directory_year").alias("blocked_years"), F.coalesce(F.sum("boundary_errors"), F.lit(0)).alias("unresolved_boundary_errors"))
+    return out.withColumn("passing", (F.col("missing_review_years") == "") & (F.col("blocked_years") == "") & (F.col("unresolved_boundary_errors") == 0))
+
+
+def invalid_review_values(reviews: DataFrame) -> DataFrame:
+    """(column, value, rows) of checks and completion marks outside their domain; null counts as blank."""
+    value = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), value(c).alias("value")) for c in (*CHECKS, "review_complete")])
+    rows = reviews.select(F.explode(cells).alias("cell")).select("cell.*").groupBy("column", "value").agg(F.count("*").alias("rows"))
+    allowed = F.col("value").isin(*ANSWERS, "") & ((F.col("column") != "review_complete") | F.col("value").isin(*COMPLETION, ""))
+    return rows.where(~allowed)
+
+
+def check_reviews(reviews: DataFrame) -> DataFrame:
+    """The reviews with their completion mark in lower case; missing columns or values outside their domain raise."""
+    if absent := [c for c in (*CHECKS, "review_complete") if c not in reviews.columns]:
+        raise ValueError(f"reviews lack the columns {', '.join(absent)}")
+    if wrong := invalid_review_values(reviews).orderBy("column", "value").take(20):
+        raise ValueError("invalid values: " + ", ".join(f"{r.column}={r.value!r}" for r in wrong))
+    return reviews.withColumn("review_complete", F.lower(F.coalesce("review_complete", F.lit(""))))
+
+
 def simple_accuracy(gold: DataFrame, facilities: DataFrame, ascii_only: bool = False) -> DataFrame:
     """One row: completed reviews and the shares of equal addresses and code sets."""
     codes = lambda c: F.array_sort(F.array_distinct(F.filter(F.split(F.coalesce(c, F.lit("")), r"\s+"), lambda x: x != "")))

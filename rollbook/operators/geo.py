@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,14 +55,28 @@ def pending(facilities: DataFrame, cache: DataFrame) -> DataFrame:
     return facilities.join(cache.select("listing_id").distinct(), "listing_id", "left_anti")
 
 
-def batches(rows: DataFrame, order: str, size: int) -> DataFrame:
-    """Rows with the number of their batch; batches hold ``size`` rows of a slice of the order, so none is ranked alone."""
-    slices = F.pmod(F.xxhash64(order), F.lit(64))
-    place = Window.partitionBy("slice").orderBy(order)
-    return rows.withColumn("slice", slices).withColumn("batch", F.floor((F.row_number().over(place) - 1) / size))
+def batches(rows: DataFrame, order: str, size: int, slices: int = 1024) -> DataFrame:
+    """Rows with the number of their ``batch``: every batch holds ``size`` rows but the last.
+
+    Rows are numbered within slices of a hash, ``slices`` counts give what goes
+    before each, and so no task holds all rows.
+    """
+    sliced = rows.withColumn("_slice", F.pmod(F.xxhash64(order), F.lit(slices)))
+    # One row a slice.
+    before = F.sum("_count").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
+    counts = sliced.groupBy("_slice").agg(F.count("*").alias("_count")).select("_slice", F.coalesce(before, F.lit(0)).alias("_before"))
+    number = F.col("_before") + F.row_number().over(Window.partitionBy("_slice").orderBy(order)) - 1
+    return sliced.join(F.broadcast(counts), "_slice").withColumn("batch", F.floor(number / size)).drop("_slice", "_before")
+
+
+def geocode_pending(facilities: DataFrame, cache: DataFrame, geocoder: Callable[[pd.DataFrame], pd.DataFrame], schema: str, size: int = 1000) -> DataFrame:
+    """The cache and the answers for the listings it lacks, asked in batches of ``size``; pauses and retries are the geocoder's."""
+    asked = batches(pending(facilities, cache), "listing_id", size).groupBy("batch").applyInPandas(lambda frame: geocoder(frame.drop(columns="batch")), schema)
+    return cache.unionByName(asked, allowMissingColumns=True)
 
 
 def attach(facilities: DataFrame, extra: DataFrame, key: str = "listing_id") -> DataFrame:
-    """Left join of one row per key; columns of the extra table replace those of the same name."""
-    once = extra.dropDuplicates([key])
+    """Left join of one row per key, the least by its columns; columns of the extra table replace those of the same name."""
+    others = [c for c in extra.columns if c != key]
+    once = extra.groupBy(key).agg(F.min(F.struct(*others)).alias("_row")).select(key, "_row.*") if others else extra.distinct()
     return facilities.drop(*[c for c in extra.columns if c != key]).join(once, key, "left")

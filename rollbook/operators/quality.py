@@ -13,6 +13,7 @@ from ..functions.text import is_header_noise
 # Gates.
 MAX_CHANGE, COUNT_GATE, GEOCODE_GATE, LINKAGE_GATE, EARLY_GATE, LATE_GATE = 0.25, 0.02, 0.90, 0.98, 0.95, 0.98
 EARLY_YEARS = (1998, 2000, 2001)
+COVERAGE = {"early_ocr": 0.60, "other": 0.80}
 PRIORITY_YEARS = (1998, 2000, 2001, 2003, 2004, 2017, 2018, 2021)
 
 
@@ -68,11 +69,19 @@ def qa_preliminary(labelled: DataFrame) -> DataFrame:
     return out.withColumn("warning_share", F.col("warning_count") / F.col("facility_count"))
 
 
-def structural_metrics(facilities: DataFrame, services: DataFrame, availability: DataFrame, expected: DataFrame, min_rows: int = 1000, max_rows: int = 30000, min_coverage: float = 0.80) -> DataFrame:
+def percent(value: Column, places: int = 1) -> Column:
+    """A share as text, like 12.5%."""
+    return F.format_string(f"%.{places}f%%", F.bround(value * 100, places))
+
+
+def structural_metrics(facilities: DataFrame, services: DataFrame, availability: DataFrame, expected: DataFrame, min_rows: int = 1000, max_rows: int = 30000) -> DataFrame:
     """Per year: counts, shares, page range, and the reasons that block it, in order.
 
-    ``expected``: directory_year, expected_listings (null for none).
+    ``expected``: directory_year, expected_listings (null for none) and, where
+    known, layout_profile, end_page (the last page to read) and pdf_page_count.
     """
+    optional = {"layout_profile": "string", "end_page": "int", "pdf_page_count": "int"}
+    expected = expected.withColumns({c: F.lit(None).cast(t) for c, t in optional.items() if c not in expected.columns})
     out = facilities.groupBy("directory_year").agg(
         F.count("*").alias("facility_rows"), F.countDistinct("state").alias("state_count"), F.array_join(F.array_sort(F.collect_set("state")), "|").alias("states"),
         F.sum((~is_valid_state(F.col("state"))).cast("int")).alias("invalid_state_records"), F.sum(F.coalesce(is_header_noise(F.col("name1")), F.lit(False)).cast("int")).alias("header_records"),
@@ -86,14 +95,20 @@ def structural_metrics(facilities: DataFrame, services: DataFrame, availability:
     out = out.fillna(0, ["service_rows", "service_listings", "availability_rows"])
     out = out.withColumn("service_coverage", F.col("service_listings") / F.greatest("facility_rows", F.lit(1)))
     out = out.withColumn("count_difference_share", F.try_divide(F.abs(F.col("facility_rows") - F.col("expected_listings")), "expected_listings"))
+    out = out.withColumn("page_coverage_complete", F.col("pdf_page_count") >= F.col("end_page"))
+    least = F.when(F.col("layout_profile") == "early_ocr", COVERAGE["early_ocr"]).otherwise(COVERAGE["other"])
+    says = lambda text, value: F.concat(F.lit(text), value)
     rules = [
-        (F.col("invalid_state_records") > 0, "malformed state records"), (F.col("header_records") > 0, "parsed header records"), (~F.col("facility_rows").between(min_rows, max_rows), "implausible listing count"),
-        (F.col("service_listings") == 0, "empty service extraction"), ((F.col("service_listings") > 0) & (F.col("service_coverage") < min_coverage), "service coverage is below the minimum"),
-        (F.col("availability_rows") == 0, "empty service availability"), (F.col("missing_name_share") > 0.05, "missing facility-name share"), (F.col("missing_address_share") > 0.01, "missing address share"),
-        (F.col("weak_address_share") > 0.25, "weak-address warning share"), (F.col("count_difference_share") > 0.35, "listing count differs from comparison fixture"),
+        (F.col("invalid_state_records") > 0, F.concat("invalid_state_records", F.lit(" malformed state records"))), (F.col("header_records") > 0, F.concat("header_records", F.lit(" parsed header records"))),
+        (~F.col("facility_rows").between(min_rows, max_rows), says("implausible listing count: ", F.col("facility_rows"))), (F.col("service_listings") == 0, F.lit("empty service extraction")),
+        ((F.col("service_listings") > 0) & (F.col("service_coverage") < least), F.concat(F.lit("service coverage "), percent(F.col("service_coverage")), F.lit(" is below "), percent(least, 0))),
+        (F.col("availability_rows") == 0, F.lit("empty service availability")), (~F.col("page_coverage_complete"), F.lit("PDF ends before the configured final page")),
+        (F.col("missing_name_share") > 0.05, says("missing facility-name share is ", percent(F.col("missing_name_share")))), (F.col("missing_address_share") > 0.01, says("missing address share is ", percent(F.col("missing_address_share")))),
+        (F.col("weak_address_share") > 0.25, says("weak-address warning share is ", percent(F.col("weak_address_share")))),
+        (F.col("count_difference_share") > 0.35, says("listing count differs from comparison fixture by ", percent(F.col("count_difference_share")))),
     ]
     reasons = F.array_compact(F.array(*[F.when(rule, text) for rule, text in rules]))
-    return out.withColumn("blocking_reasons", F.array_join(reasons, "; ")).withColumn("structural_pass", F.size(reasons) == 0)
+    return out.withColumn("blocking_reasons", F.array_join(reasons, "; ")).withColumn("structural_pass", F.size(reasons) == 0).drop("end_page", "pdf_page_count")
 
 
 def workbook_metrics(facilities: DataFrame, services: DataFrame, unknown: DataFrame, expected: DataFrame) -> DataFrame:

@@ -7,12 +7,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.lineage import checkpointed
+from ..functions.text import clean_zip, short_hash
 
 # Strata in order of choice, with their shares; the rest is random.
 SHARES = {"warning_unknown": 0.20, "boundary": 0.10, "rare_dense_services": 0.10, "complex_record": 0.10}
 RARE, QUINTILES = 10, 5
 FLAGS = {"warning_unknown": "has_warning_unknown", "boundary": "is_boundary", "rare_dense_services": "is_rare_dense", "complex_record": "is_complex"}
 CHECKS = ("name_check", "address_check", "services_check", "boundary_check")
+FIELDS = ("name1", "name2", "address1", "city", "state", "zip", "service_codes")
 GROUPS = ["page_quantile", "source_column", "census_region", "state"]
 _UNIT = r"(?i)\b(?:Suite|Ste|Unit|Room|Floor|Building|Bldg|Apt|#)\b"
 
@@ -95,6 +97,29 @@ def sample(features: DataFrame, size: int | DataFrame, seed: int = 0, key: str =
     return chosen.drop("_h")
 
 
+def stratum_counts(sampled: DataFrame) -> DataFrame:
+    """Rows of each stratum."""
+    return sampled.groupBy("sample_stratum").agg(F.count("*").alias("rows"))
+
+
+def create(features: DataFrame, size: int | DataFrame, seed: int = 0, key: str = "source_anchor_id") -> DataFrame:
+    """A new review table: the sample's identifiers, what was parsed, and blank fields for the reviewer.  An anchor sampled twice raises."""
+    chosen = sample(features, size, seed, key)
+    if twice := chosen.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").take(1):
+        raise ValueError(f"the sample holds the source anchor {twice[0][key]!r} more than once")
+    has = set(chosen.columns)
+    kept = [c for c in ("source_anchor_id", "directory_year", "survey_year", "source_pdf", "source_page", "source_column", "source_record_order", "sample_stratum", "page_quantile", "raw_record_text", "raw_service_text", "parser_warnings", "unknown_service_tokens") if c in has]
+    parsed = [(clean_zip(F.col(c)) if c == "zip" else F.col(c)).alias(f"parsed_{c}") for c in FIELDS if c in has]
+    blank = [F.lit("").alias(c) for c in ("replacement_for_sample_id", "page_image", *[f"corrected_{c}" for c in FIELDS], *CHECKS, "review_complete")]
+    return chosen.select(short_hash("G", 15, F.lit(seed), F.col(key)).alias("sample_id"), F.col("listing_id").alias("listing_id_at_sampling"), *kept, F.lit("active").alias("review_disposition"), *parsed, *blank)
+
+
+def metadata(created: DataFrame, seed: int) -> dict:
+    """Seed, rows, rows per year and per stratum of a review table; both counts are bounded by years and strata."""
+    years = {r.directory_year: r.n for r in created.groupBy("directory_year").agg(F.count("*").alias("n")).orderBy("directory_year").collect()}
+    return {"seed": seed, "total_rows": sum(years.values()), "sample_sizes": years, "stratum_counts": {r.sample_stratum: r["rows"] for r in stratum_counts(created).orderBy("sample_stratum").collect()}}
+
+
 def disposition() -> Column:
     """A review's disposition: active unless it says otherwise, replaced if any check is uncertain."""
     uncertain = [F.lower(F.coalesce(c, F.lit(""))) == "uncertain" for c in CHECKS]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -10,7 +10,8 @@ def workbook_services(rows: DataFrame, codebook: DataFrame) -> DataFrame:
     """Known codes of (listing_id, directory_year, service_code_info), each once, in order, with category and label."""
     tokens = F.array_distinct(F.filter(F.split(F.trim("service_code_info"), r"\s+"), lambda t: (t != "*") & (t != "")))
     exploded = rows.select("listing_id", "directory_year", F.posexplode(tokens).alias("position", "code"))
-    return exploded.join(codebook.select("code", "category", "label").dropDuplicates(["code"]), "code")
+    least = codebook.groupBy("code").agg(F.min(F.struct("category", "label")).alias("_row")).select("code", "_row.*")
+    return exploded.join(least, "code")
 
 
 def unknown_workbook_tokens(rows: DataFrame, codebook: DataFrame) -> DataFrame:
@@ -19,6 +20,18 @@ def unknown_workbook_tokens(rows: DataFrame, codebook: DataFrame) -> DataFrame:
     return rows.select("directory_year", F.explode(tokens).alias("code")).distinct().join(codebook.select("code"), "code", "left_anti")
 
 
+def json_items(value: Column) -> Column:
+    """Items of a JSON list that aren't empty; other text is one item."""
+    text = F.coalesce(value, F.lit(""))
+    return F.filter(F.coalesce(F.from_json(text, "array<string>"), F.array(text)), lambda x: x != "")
+
+
+def unknown_tokens(facilities: DataFrame) -> DataFrame:
+    """Distinct unknown tokens of each year that has any, sorted, joined by bars."""
+    rows = facilities.select("directory_year", F.explode(json_items(F.col("unknown_service_tokens"))).alias("token"))
+    return rows.groupBy("directory_year").agg(F.array_join(F.array_sort(F.collect_set("token")), "|").alias("tokens"))
+
+
 def codes_by_listing(services: DataFrame) -> DataFrame:
     """Sorted distinct codes of each listing, joined by spaces."""
     return services.groupBy("listing_id").agg(F.array_join(F.array_sort(F.collect_set("code")), " ").alias("service_codes"))

@@ -11,13 +11,15 @@ from ..functions import text as T
 from ..functions import tokens as K
 from ..functions.geography import geography
 from ..operators import bounds, continuity, evaluation, geo, linkage, quality, records, sampling, status
+from ..sources import readers
 from .adapter import Panel, with_views
-from .oracles import ORACLE_TEXTS
+from .oracles import KNOWN, ORACLE_TEXTS
 
 #: Industries, break of the external series, and transitions of the derived panel.
 NAICS, BREAK = ("621420", "623220"), 1998
 TRANSITIONS = [(y, y + 1) for y in range(1995, 2001)]
-KNOWN = "OP RES HI SA DT MH PVTN PVTP LCCG STG VAMC OTP MU BU NU MD MC PI SF TELE SS CM HH TX ODT".split()
+
+SPOT = ("directory_year", "source_page", "source_column")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -72,8 +74,10 @@ def source_format_fill(p):
 
 @query
 def structural_metrics(p):
-    out = quality.structural_metrics(p.fac, p.svc, p.avail, expected_counts(p).select("directory_year", "expected_listings"))
-    return rounded(out)
+    year = F.col("directory_year")
+    layout = F.when(year % 2 == 0, "early_ocr").otherwise("two_column").alias("layout_profile")
+    expected = expected_counts(p).select(year, "expected_listings", layout, F.lit(400).alias("end_page"), F.when(year % 5 != 0, 390 + year % 5 * 5).alias("pdf_page_count"))
+    return rounded(quality.structural_metrics(p.fac, p.svc, p.avail, expected))
 
 
 @query
@@ -96,8 +100,8 @@ def qa_gates(p):
 
 @query
 def unknown_tokens(p):
-    rows = p.fac.select("directory_year", F.explode(F.from_json("unknown_service_tokens", "array<string>")).alias("token"))
-    return rounded(rows.groupBy("directory_year").agg(F.array_join(F.array_sort(F.collect_set("token")), "|").alias("tokens")))
+    plain = F.when(F.col("ck") % 23 == 0, "not a list").when(F.col("ck") % 19 == 0, '["", "B2", "A1"]').otherwise(F.col("unknown_service_tokens"))
+    return rounded(status.unknown_tokens(p.fac.withColumn("unknown_service_tokens", plain)))
 
 
 @query
@@ -281,8 +285,16 @@ def anti_codes(p):
 
 @query
 def batch_chunks(p):
-    out = geo.batches(p.fac.select("listing_id"), "listing_id", 10).groupBy("slice", "batch").agg(F.count("*").alias("n"))
-    return out.agg(F.sum("n").alias("n_rows"), (F.max("n") <= 10).alias("bounded"))
+    return geo.batches(p.fac.select("listing_id"), "listing_id", 10).groupBy("batch").agg(F.count("*").alias("n"))
+
+
+@query
+def geocode_step(p):
+    """Pending listings asked in batches of 100; the geocoder here answers from the listing alone."""
+    answer = lambda frame: frame.assign(county_fips="41" + frame["zip"].str[-3:], n=len(frame))[["listing_id", "county_fips", "n"]]
+    cache = p.geo.select("listing_id", "county_fips", F.lit(0).cast("long").alias("n"))
+    out = geo.geocode_pending(p.fac.select("listing_id", "zip"), cache, answer, "listing_id string, county_fips string, n long", 100)
+    return out.select("listing_id", "county_fips", (F.col("n") <= 100).alias("bounded"))
 
 
 @query
@@ -323,8 +335,19 @@ def stratified_sample(p):
 
 @query
 def gold_create(p):
-    out = sampling.sample(features(p), 50, seed=11)
-    return rounded(out.select(T.short_hash("G", 15, F.lit(11), F.col("source_anchor_id")).alias("sample_id"), "source_anchor_id", "directory_year", "sample_stratum", "page_quantile", F.lit("").alias("review_complete")))
+    out = sampling.create(features(p), 50, seed=11)
+    return rounded(out.select("sample_id", "source_anchor_id", "listing_id_at_sampling", "directory_year", "sample_stratum", "page_quantile", "review_disposition", "parsed_name1", "parsed_zip", "review_complete"))
+
+
+@query
+def stratum_counts(p):
+    return sampling.stratum_counts(p.reviews)
+
+
+@query
+def review_domains(p):
+    odd = F.when(F.col("ck") % 41 == 0, "Maybe").otherwise(F.col("address_check"))
+    return evaluation.invalid_review_values(p.reviews.withColumns({"address_check": odd, "review_complete": F.when(F.col("ck") % 43 == 0, "uncertain").otherwise(F.col("review_complete"))}))
 
 
 @query
@@ -355,6 +378,12 @@ def gold_metrics(p):
     return rounded(evaluation.year_metrics(evaluation.compare(p.reviews, p.gold_now, ascii_only=True)))
 
 
+@query
+def gold_summary(p):
+    metrics = evaluation.year_metrics(evaluation.compare(p.reviews, p.gold_now, ascii_only=True))
+    return evaluation.run_summary(metrics, list(range(1994, 2003)))
+
+
 @query
 def gold_refresh(p):
     moved = p.gold_now.withColumn("source_anchor_id", F.when(F.col("ck") % 10 == 3, F.concat(F.lit("B"), "source_anchor_id")).otherwise(F.col("source_anchor_id")))
@@ -425,20 +454,21 @@ def names_address(p):
 
 @query
 def line_classify(p):
+    """Noise and city headers among the lines of all documents, every seventh line in capitals."""
     lines = p.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     line = F.trim(F.regexp_replace("line", "[ \t]+", " "))
-    return rounded(lines.select("doc_id", "line_no", T.is_header_noise(line).alias("header_noise"), line.rlike(r"^[^A-Za-z0-9]+$").alias("punctuation"), line.rlike(r"^(?:[iIl1]\s*){2,}$").alias("strokes")))
+    line = F.when(F.col("line_no") % 7 == 0, F.upper(F.substring_index(line, " ", 3))).otherwise(line)
+    return rounded(lines.select("doc_id", "line_no", T.is_header_noise(line).alias("header_noise"), T.is_noise(line).alias("noise"), T.is_city_header(line).alias("city_header")))
 
 
 @query
 def column_boxes(p):
-    """Left and right edges of page columns of a 612 wide page."""
-    n = F.lit(2) + F.col("ck") % 2
-    rows = p.fac.select("listing_id", F.posexplode(F.sequence(F.lit(1), n)).alias("i", "column"), n.alias("n"))
-    width, margin, overlap = 612.0, 30.0, 4.0
-    shift = F.when(F.col("i") > 0, overlap).otherwise(0.0)
-    edge = lambda k: F.lit(margin) + k * (width - 2 * margin) / F.col("n") + shift
-    return rounded(rows.select("listing_id", "column", edge(F.col("i")).alias("x0"), edge(F.col("i") + 1).alias("x1")))
+    """Boxes of the page columns of each listing, by four layouts of a page of 612 by 792."""
+    base = {"crop_top": 36, "crop_bottom": 40, "margin": 30.0, "overlap": 4.0, "layout_profile": "columns", "directory_year": 2005}
+    layouts = [{"n_columns": 2}, {"n_columns": 3}, {"n_columns": 3, "layout_profile": "three_column_transition"}, {"n_columns": 2, "margin": 40.0, "directory_year": 1998}]
+    boxes = [(kind, i, *map(float, box)) for kind, own in enumerate(layouts) for i, box in enumerate(readers.column_boxes(612.0, 792.0, base | own), 1)]
+    found = p.spark.createDataFrame(boxes, "kind int, `column` int, x0 double, y0 double, x1 double, y1 double")
+    return rounded(p.fac.select("listing_id", (F.col("ck") % 4).cast("int").alias("kind")).join(F.broadcast(found), "kind").drop("kind"))
 
 
 # Records
@@ -447,20 +477,14 @@ def column_boxes(p):
 @query
 def anchor_ids(p):
     """Occurrence and order of location lines, numbered within a printed column and a year."""
-    from pyspark.sql import Window
-
-    same = Window.partitionBy("directory_year", "source_page", "source_column", "city").orderBy("source_record_order")
-    order = Window.partitionBy("directory_year").orderBy("source_page", "source_column", "source_record_order")
-    return rounded(p.fac.select("listing_id", F.row_number().over(same).alias("occurrence"), F.row_number().over(order).alias("record_order")))
+    out = records.in_print_order(p.fac, F.lit(None).cast("string"), F.lit(True), SPOT, "source_record_order")
+    return rounded(out.select("listing_id", records.occurrence("city", SPOT, "source_record_order").alias("occurrence"), F.col("number_so_far").alias("record_order")))
 
 
 @query
 def header_ffill(p):
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("directory_year").orderBy("source_record_order").rowsBetween(Window.unboundedPreceding, 0)
     header = F.when(F.col("ck") % 6 == 0, F.upper("city"))
-    return p.fac.select("listing_id", F.coalesce(F.last(header, True).over(order), F.lit("")).alias("header"))
+    return records.in_print_order(p.fac, header, F.lit(True), SPOT, "source_record_order").select("listing_id", F.col("header_so_far").alias("header"))
 
 
 def positioned_lines(p: Panel) -> DataFrame:

@@ -1,5 +1,6 @@
 """DuckDB SQL that each query's rows must equal; derived tables are put in front by ``with_views``."""
 
+KNOWN = "OP RES HI SA DT MH PVTN PVTP LCCG STG VAMC OTP MU BU NU MD MC PI SF TELE SS CM HH TX ODT".split()
 STATES = "'CT','ME','MA','NH','RI','VT','NJ','NY','PA','IN','IL','MI','OH','WI','IA','KS','MN','MO','NE','ND','SD','DE','DC','FL','GA','MD','NC','SC','VA','WV','AL','KY','MS','TN','AR','LA','OK','TX','AZ','CO','ID','MT','NV','NM','UT','WY','AK','CA','HI','OR','WA'"
 VALID = STATES + ",'PR','GU','VI','AS','MP','FM','PW'"
 REGION = "CASE state WHEN 'OR' THEN 'West' WHEN 'NY' THEN 'Northeast' WHEN 'TX' THEN 'South' ELSE 'Territory' END"
@@ -66,6 +67,35 @@ _EVAL = f"""ev AS (SELECT r.*, n.source_anchor_id IS NOT NULL AS anchor_matched,
   coalesce(list_sort(string_split(n.service_codes, ' ')) = ['OP', 'PI'], false) AS service_accurate
   FROM reviews r LEFT JOIN gold_now n USING (source_anchor_id) WHERE lower(review_complete) = 'yes' AND review_disposition = '')"""
 _LINE = """ln AS (SELECT listing_id, city, state, zip, ck, ck % 4 AS third FROM fac)"""
+_METRICS = f"""{_EVAL}, e AS (SELECT directory_year, sample_stratum, count(*) AS n FROM ev WHERE NOT (name_accurate AND address_accurate AND service_accurate) GROUP BY 1, 2), x AS (SELECT directory_year, max(n) / sum(n) AS worst FROM e GROUP BY 1),
+m AS (SELECT directory_year, count(*) AS n, avg(name_accurate::int) AS na, avg(address_accurate::int) AS aa, avg(service_accurate::int) AS sa, avg((lower(name_check) = 'uncertain')::int) AS u, sum((NOT anchor_matched)::int)::bigint AS un, sum((boundary_check = 'no')::int)::bigint AS be FROM ev GROUP BY 1),
+j AS (SELECT m.*, coalesce(worst, 0) AS worst, CASE WHEN directory_year IN (1998, 2000, 2001) THEN 0.95 ELSE 0.98 END::double AS target FROM m LEFT JOIN x USING (directory_year)),
+k AS (SELECT *, least(na, aa, sa) >= target AND u <= 0.05 AND un = 0 AND be = 0 AS pass FROM j)"""
+_FEATURES = f"""{_CODES}, f AS (SELECT fac.*, CASE WHEN service_codes IS NULL THEN [] ELSE string_split(service_codes, ' ') END AS c FROM fac LEFT JOIN codes USING (listing_id)),
+pg AS (SELECT directory_year, source_page, dense_rank() OVER (PARTITION BY directory_year ORDER BY source_page) AS r FROM fac), pq AS (SELECT directory_year, source_page, any_value(r) AS r, max(any_value(r)) OVER (PARTITION BY directory_year) AS n FROM pg GROUP BY 1, 2),
+fr AS (SELECT directory_year, code FROM svc GROUP BY 1, 2 HAVING count(DISTINCT listing_id) <= 10), ra AS (SELECT directory_year, list(code) AS rare FROM fr GROUP BY 1), de AS (SELECT directory_year, greatest(quantile_cont(len(c), 0.9), 1) AS p90 FROM f GROUP BY 1),
+w AS (SELECT f.*, min(source_record_order) OVER (PARTITION BY directory_year, source_page, source_column) AS lo, max(source_record_order) OVER (PARTITION BY directory_year, source_page, source_column) AS hi, count(*) OVER (PARTITION BY directory_year, state, city, address1) AS twins FROM f),
+feat AS (SELECT w.*, least((r * 5 + n - 1) // n, 5)::bigint AS page_quantile, parser_warnings <> '[]' OR unknown_service_tokens <> '[]' AS has_warning_unknown, source_record_order IN (lo, hi) AS is_boundary,
+    coalesce(list_has_any(c, rare), false) OR len(c) >= p90 AS is_rare_dense, ck % 50 = 0 OR name2 <> '' OR regexp_matches(address1, '\\bSuite\\b') OR twins > 1 AS is_complex
+  FROM w JOIN pq USING (directory_year, source_page) JOIN de USING (directory_year) LEFT JOIN ra USING (directory_year))"""
+
+
+def _sampled(size: int, seed: int) -> str:
+    """CTEs up to ``sampled``: ``size`` rows a year by stratum, each going round its groups."""
+    group = "directory_year, page_quantile, source_column, census_region, state"
+    digest = f"sha1(concat_ws('|', '{seed}', page_quantile::varchar, source_column::varchar, coalesce(census_region, ''), coalesce(state, '')))"
+    quota = {name: round(size * share) for name, share in (("warning_unknown", 0.2), ("boundary", 0.1), ("rare_dense", 0.1), ("complex", 0.1))}
+    parts = [f"{_FEATURES}, pool AS (SELECT *, {REGION} AS census_region, sha1(concat_ws('|', '{seed}', directory_year::varchar, source_anchor_id)) AS h FROM feat)"]
+    before = "SELECT source_anchor_id, directory_year FROM pool WHERE false"
+    for stage, (stratum, limit) in enumerate([*((k, str(n)) for k, n in quota.items()), ("random", f"{size} - (SELECT count(*) FROM ({{before}}) x WHERE x.directory_year = t.directory_year)")]):
+        flag = "true" if stratum == "random" else f"is_{stratum}" if stratum != "warning_unknown" else "has_warning_unknown"
+        parts.append(f"turn{stage} AS (SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY h) AS turn FROM pool WHERE {flag} AND source_anchor_id NOT IN (SELECT source_anchor_id FROM ({before})))")
+        parts.append(f"place{stage} AS (SELECT *, row_number() OVER (PARTITION BY directory_year ORDER BY turn, {digest}, h) AS place FROM turn{stage} WHERE turn <= {size})")
+        parts.append(f"own{stage} AS (SELECT * FROM place{stage} t WHERE place <= {limit.format(before=before)})")
+        before = " UNION ALL ".join(f"SELECT source_anchor_id, directory_year FROM own{i}" for i in range(stage + 1))
+    names = ("warning_unknown", "boundary", "rare_dense_services", "complex_record", "random")
+    return ", ".join([*parts, "sampled AS (" + " UNION ALL ".join(f"SELECT *, '{x}' AS sample_stratum FROM own{i}" for i, x in enumerate(names)) + ")"])
+
 
 ORACLE_TEXTS = {
     "qa_by_year": f"WITH {_ANNUAL} SELECT directory_year::bigint AS directory_year, survey_year::bigint AS survey_year, rows, states, round(missing_name_share, 9) AS missing_name_share, round(missing_address_share, 9) AS missing_address_share, round(invalid_state_share, 9) AS invalid_state_share, header_noise_share, round(weak_address_share, 9) AS weak_address_share, round(service_record_share, 9) AS service_record_share, round(row_change, 9) AS row_change, coalesce(abs(row_change) > 0.25, false) AS large_discontinuity FROM annual",
@@ -77,14 +107,16 @@ ORACLE_TEXTS = {
   min(source_page)::bigint AS first_page_with_record, max(source_page)::bigint AS last_page_with_record, count(DISTINCT source_page) AS pages_with_records FROM fac GROUP BY 1),
 s AS (SELECT directory_year, count(*) AS service_rows, count(DISTINCT listing_id) AS service_listings FROM svc GROUP BY 1), a AS (SELECT directory_year, count(*) AS availability_rows FROM avail GROUP BY 1),
 j AS (SELECT m.*, coalesce(service_rows, 0) AS service_rows, coalesce(service_listings, 0) AS service_listings, coalesce(availability_rows, 0) AS availability_rows, expected_listings,
+  CASE WHEN directory_year % 2 = 0 THEN 'early_ocr' ELSE 'two_column' END AS layout_profile, CASE WHEN directory_year % 5 <> 0 THEN 390 + directory_year % 5 * 5 >= 400 END AS page_coverage_complete,
   coalesce(service_listings, 0) / facility_rows AS service_coverage, abs(facility_rows - expected_listings) / expected_listings AS count_difference_share
   FROM m LEFT JOIN s USING (directory_year) LEFT JOIN a USING (directory_year) LEFT JOIN expected USING (directory_year)),
-r AS (SELECT *, list_filter([CASE WHEN invalid_state_records > 0 THEN 'malformed state records' END, CASE WHEN facility_rows NOT BETWEEN 1000 AND 30000 THEN 'implausible listing count' END,
-  CASE WHEN service_listings = 0 THEN 'empty service extraction' WHEN service_coverage < 0.8 THEN 'service coverage is below the minimum' END, CASE WHEN availability_rows = 0 THEN 'empty service availability' END,
-  CASE WHEN missing_name_share > 0.05 THEN 'missing facility-name share' END, CASE WHEN missing_address_share > 0.01 THEN 'missing address share' END, CASE WHEN weak_address_share > 0.25 THEN 'weak-address warning share' END,
-  CASE WHEN count_difference_share > 0.35 THEN 'listing count differs from comparison fixture' END], lambda x: x IS NOT NULL) AS reasons FROM j)
+r AS (SELECT *, list_filter([CASE WHEN invalid_state_records > 0 THEN concat(invalid_state_records, ' malformed state records') END, CASE WHEN facility_rows NOT BETWEEN 1000 AND 30000 THEN concat('implausible listing count: ', facility_rows) END,
+  CASE WHEN service_listings = 0 THEN 'empty service extraction' WHEN layout_profile = 'early_ocr' AND service_coverage < 0.6 THEN format('service coverage {{:.1f}}% is below 60%', service_coverage * 100) WHEN layout_profile <> 'early_ocr' AND service_coverage < 0.8 THEN format('service coverage {{:.1f}}% is below 80%', service_coverage * 100) END,
+  CASE WHEN availability_rows = 0 THEN 'empty service availability' END, CASE WHEN NOT page_coverage_complete THEN 'PDF ends before the configured final page' END,
+  CASE WHEN missing_name_share > 0.05 THEN format('missing facility-name share is {{:.1f}}%', missing_name_share * 100) END, CASE WHEN missing_address_share > 0.01 THEN format('missing address share is {{:.1f}}%', missing_address_share * 100) END,
+  CASE WHEN weak_address_share > 0.25 THEN format('weak-address warning share is {{:.1f}}%', weak_address_share * 100) END, CASE WHEN count_difference_share > 0.35 THEN format('listing count differs from comparison fixture by {{:.1f}}%', count_difference_share * 100) END], lambda x: x IS NOT NULL) AS reasons FROM j)
 SELECT directory_year::bigint AS directory_year, facility_rows, state_count, states, invalid_state_records, header_records, warning_records, round(missing_name_share, 9) AS missing_name_share, round(missing_address_share, 9) AS missing_address_share,
-  round(weak_address_share, 9) AS weak_address_share, first_page_with_record, last_page_with_record, pages_with_records, service_rows, service_listings, availability_rows, expected_listings, round(service_coverage, 9) AS service_coverage,
+  round(weak_address_share, 9) AS weak_address_share, first_page_with_record, last_page_with_record, pages_with_records, service_rows, service_listings, availability_rows, expected_listings, layout_profile, page_coverage_complete, round(service_coverage, 9) AS service_coverage,
   round(count_difference_share, 9) AS count_difference_share, array_to_string(reasons, '; ') AS blocking_reasons, len(reasons) = 0 AS structural_pass FROM r""",
     "count_reference": f"WITH {_EXPECTED}, n AS (SELECT directory_year, count(*) AS rows FROM fac GROUP BY 1) SELECT directory_year::bigint AS directory_year, rows, expected_listings, acceptance_reference, round(abs(rows - expected_listings) / expected_listings, 9) AS count_difference_share, coalesce(abs(rows - expected_listings) / expected_listings <= 0.02, false) AS count_within_2pct FROM n LEFT JOIN expected USING (directory_year)",
     "geocode_share": "SELECT round(avg((county_fips <> '')::int), 9) AS assigned_share, round(avg((geocode_confidence = 'high')::int), 9) AS high_share FROM geo",
@@ -96,7 +128,7 @@ SELECT structural_pass, count_reference_pass, gold_target, gold_pass, round(high
   array_to_string(list_filter([CASE WHEN NOT structural_pass THEN 'structural parser QA failed' END, CASE WHEN NOT count_reference_pass THEN 'independent annual count references are incomplete or outside 2%' END,
   CASE WHEN NOT gold_pass THEN 'manual gold sample is incomplete or below target' END, CASE WHEN NOT high >= 0.9 THEN 'high-confidence county assignment is below 90% or absent' END], lambda x: x IS NOT NULL), '; ') AS blocking_reasons,
   structural_pass AND count_reference_pass AND gold_pass AND high >= 0.9 AS release_ready FROM g""",
-    "unknown_tokens": "SELECT directory_year::bigint AS directory_year, string_agg(DISTINCT 'ZZQ', '|') AS tokens FROM fac WHERE ck % 17 = 0 GROUP BY 1",
+    "unknown_tokens": "SELECT directory_year::bigint AS directory_year, string_agg(DISTINCT token, '|' ORDER BY token) AS tokens FROM (SELECT directory_year, unnest(CASE WHEN ck % 23 = 0 THEN ['not a list'] WHEN ck % 19 = 0 THEN ['A1', 'B2'] WHEN ck % 17 = 0 THEN ['ZZQ'] ELSE [] END) AS token FROM fac) b GROUP BY 1",
     "rights_audit": """
 SELECT source, bool_or(contains(u, 'PUBLIC DOMAIN NOTICE')) AS public_domain_notice, bool_or(regexp_matches(u, 'MAY BE REPRODUCED|REPRODUCED OR COPIED')) AS reproduction_permission,
   bool_or(contains(u, 'DISTRIBUTED FOR A FEE')) AS fee_restriction_found, min(page) FILTER (contains(u, 'PUBLIC DOMAIN')) AS notice_pdf_page,
@@ -159,23 +191,15 @@ SELECT listing_id, CASE WHEN missing THEN fallback ELSE own END AS county_fips,
     "anti_pending": "SELECT listing_id FROM fac WHERE listing_id NOT IN (SELECT listing_id FROM geo)",
     "semi_filter": "SELECT listing_id FROM fac WHERE listing_id IN (SELECT listing_id FROM geo WHERE geocode_confidence = 'high')",
     "anti_codes": "SELECT directory_year::bigint AS directory_year, code FROM svc EXCEPT SELECT directory_year, code FROM avail WHERE asked",
-    "batch_chunks": "SELECT count(*) AS n_rows, true AS bounded FROM fac",
+    "batch_chunks": "SELECT i // 10 AS batch, count(*) AS n FROM (SELECT row_number() OVER (ORDER BY listing_id) - 1 AS i FROM fac) b GROUP BY 1",
+    "geocode_step": "SELECT listing_id, coalesce(county_fips, concat('41', substr(zip, 3))) AS county_fips, true AS bounded FROM fac LEFT JOIN geo USING (listing_id)",
     "parquet_union": "SELECT listing_id, directory_year::bigint AS directory_year, CASE WHEN directory_year < 1998 THEN name1 END AS name1, CASE WHEN directory_year >= 1998 THEN 'workbook' END AS source_file FROM fac",
     "fips": "SELECT listing_id, CASE WHEN length(ck::varchar) >= 3 THEN ck::varchar ELSE lpad(ck::varchar, 3, '0') END AS county, lpad(nk::varchar, 2, '0') AS state_code FROM fac",
-    "sampling_features": f"""WITH {_CODES}, f AS (SELECT fac.*, CASE WHEN service_codes IS NULL THEN [] ELSE string_split(service_codes, ' ') END AS c FROM fac LEFT JOIN codes USING (listing_id)),
-pg AS (SELECT directory_year, source_page, dense_rank() OVER (PARTITION BY directory_year ORDER BY source_page) AS r FROM fac), pq AS (SELECT directory_year, source_page, any_value(r) AS r, max(any_value(r)) OVER (PARTITION BY directory_year) AS n FROM pg GROUP BY 1, 2),
-fr AS (SELECT directory_year, code FROM svc GROUP BY 1, 2 HAVING count(DISTINCT listing_id) <= 10), ra AS (SELECT directory_year, list(code) AS rare FROM fr GROUP BY 1), de AS (SELECT directory_year, greatest(quantile_cont(len(c), 0.9), 1) AS p90 FROM f GROUP BY 1),
-w AS (SELECT f.*, min(source_record_order) OVER (PARTITION BY directory_year, source_page, source_column) AS lo, max(source_record_order) OVER (PARTITION BY directory_year, source_page, source_column) AS hi, count(*) OVER (PARTITION BY directory_year, state, city, address1) AS twins FROM f)
-SELECT listing_id, least((r * 5 + n - 1) // n, 5)::bigint AS page_quantile, parser_warnings <> '[]' OR unknown_service_tokens <> '[]' AS has_warning_unknown, source_record_order IN (lo, hi) AS is_boundary,
-  coalesce(list_has_any(c, rare), false) OR len(c) >= p90 AS is_rare_dense, ck % 50 = 0 OR name2 <> '' OR regexp_matches(address1, '\\bSuite\\b') OR twins > 1 AS is_complex
-FROM w JOIN pq USING (directory_year, source_page) JOIN de USING (directory_year) LEFT JOIN ra USING (directory_year)""",
+    "sampling_features": f"WITH {_FEATURES} SELECT listing_id, page_quantile, has_warning_unknown, is_boundary, is_rare_dense, is_complex FROM feat",
     "quota_counts": "WITH n AS (SELECT directory_year, count(*) AS n FROM fac GROUP BY 1), q AS (SELECT directory_year, n, round_even(n * 0.2, 0)::bigint AS a, round_even(n * 0.1, 0)::bigint AS b FROM n) SELECT directory_year::bigint AS directory_year, a AS warning_unknown, b AS boundary, b AS rare_dense_services, b AS complex_record, n - a - 3 * b AS random FROM q",
     "gold_simple": f"WITH {_GOLD} SELECT completed, rows, round(address_accuracy, 9) AS address_accuracy, round(service_accuracy, 9) AS service_accuracy FROM simple",
     "gold_eval": f"WITH {_EVAL} SELECT source_anchor_id, anchor_matched, name_accurate, address_accurate, service_accurate FROM ev",
-    "gold_metrics": f"""WITH {_EVAL}, e AS (SELECT directory_year, sample_stratum, count(*) AS n FROM ev WHERE NOT (name_accurate AND address_accurate AND service_accurate) GROUP BY 1, 2), x AS (SELECT directory_year, max(n) / sum(n) AS worst FROM e GROUP BY 1),
-m AS (SELECT directory_year, count(*) AS n, avg(name_accurate::int) AS na, avg(address_accurate::int) AS aa, avg(service_accurate::int) AS sa, avg((lower(name_check) = 'uncertain')::int) AS u, sum((NOT anchor_matched)::int)::bigint AS un, sum((boundary_check = 'no')::int)::bigint AS be FROM ev GROUP BY 1),
-j AS (SELECT m.*, coalesce(worst, 0) AS worst, CASE WHEN directory_year IN (1998, 2000, 2001) THEN 0.95 ELSE 0.98 END::double AS target FROM m LEFT JOIN x USING (directory_year)),
-k AS (SELECT *, least(na, aa, sa) >= target AND u <= 0.05 AND un = 0 AND be = 0 AS pass FROM j)
+    "gold_metrics": f"""WITH {_METRICS}
 SELECT directory_year::bigint AS directory_year, n AS reviewed_rows, round(na, 9) AS name_accuracy, round(aa, 9) AS address_accuracy, round(sa, 9) AS service_accuracy, round(u, 9) AS uncertain_share, un AS unmatched_anchors, be AS boundary_errors, round(worst, 9) AS largest_error_stratum_share, target, pass,
   NOT pass OR worst >= 0.5 AS expansion_required, CASE WHEN (NOT pass OR worst >= 0.5) AND n < 200 THEN least(n + 50, 200) ELSE n END AS recommended_sample_size, (NOT pass OR worst >= 0.5) AND n >= 200 AS blocked_at_200 FROM k""",
     "gold_refresh": """WITH nw AS (SELECT CASE WHEN ck % 10 = 3 THEN concat('B', source_anchor_id) ELSE source_anchor_id END AS anchor, * FROM gold_now),
@@ -198,10 +222,33 @@ SELECT listing_id, array_to_string(list_sort(list_distinct(list_filter([CASE WHE
     "names_address": """WITH b AS (SELECT listing_id, name1 AS n, trim(concat(name2, ' Hall')) AS h, ck % 5 = 0 AS unit, name1 = '' AS bare FROM fac)
 SELECT listing_id, CASE WHEN bare AND unit THEN '' WHEN bare THEN h ELSE n END AS name1, CASE WHEN bare OR unit THEN '' ELSE h END AS name2, CASE WHEN unit THEN concat(h, ', Suite 9') ELSE '77 Oak Ave' END AS address1,
   CASE WHEN unit AND bare THEN 'weak_address_pattern|missing_facility_name' WHEN unit THEN 'weak_address_pattern' ELSE '' END AS warnings FROM b""",
-    "line_classify": """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents), c AS (SELECT doc_id, line_no, trim(regexp_replace(line, '[ \t]+', ' ', 'g')) AS line FROM l)
-SELECT doc_id, line_no, regexp_matches(line, '(?i)National Directory|For Code Definitions|See KEY|Treatment Facilities|Substance Abuse and Mental Health Services Administration|(?:ment|treatment)\\s+Facilities\\s+[A-Z ]+$|^\\d+$') AS header_noise,
-  regexp_matches(line, '^[^A-Za-z0-9]+$') AS punctuation, regexp_matches(line, '^(?:[iIl1]\\s*){2,}$') AS strokes FROM c""",
-    "column_boxes": "WITH b AS (SELECT listing_id, 2 + ck % 2 AS n FROM fac), c AS (SELECT listing_id, n, unnest(range(n)) AS i FROM b) SELECT listing_id, i + 1 AS \"column\", round(30 + i * 552.0::double / n + CASE WHEN i > 0 THEN 4 ELSE 0 END, 9) AS x0, round(30 + (i + 1) * 552.0::double / n + CASE WHEN i > 0 THEN 4 ELSE 0 END, 9) AS x1 FROM c",
+    "line_classify": r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents), b AS (SELECT doc_id, line_no, trim(regexp_replace(line, '[ 	]+', ' ', 'g')) AS line FROM l),
+c AS (SELECT doc_id, line_no, CASE WHEN line_no % 7 = 0 THEN upper(array_to_string(string_split(line, ' ')[1:3], ' ')) ELSE line END AS line FROM b),
+h AS (SELECT *, regexp_matches(line, '(?i)National Directory|For Code Definitions|See KEY|Treatment Facilities|Substance Abuse and Mental Health Services Administration|(?:ment|treatment)\s+Facilities\s+[A-Z ]+$|^\d+$') AS header_noise FROM c)
+SELECT doc_id, line_no, header_noise, header_noise OR NOT regexp_matches(line, '[A-Za-z0-9]') OR regexp_matches(line, '^[A-Za-z]$') OR regexp_matches(line, '^[iIl1 ]+$') AND len(replace(line, ' ', '')) > 1 AND line[1] <> ' ' AS noise,
+  len(line) >= 3 AND regexp_matches(line, '^[\p{L}\[~]') AND NOT regexp_matches(line, '\p{Nd}') AND len(string_split(line, ' ')) <= 6 AND line = upper(line) AND NOT header_noise AS city_header FROM h""",
+    "column_boxes": """WITH b AS (SELECT listing_id, ck % 4 AS kind, CASE WHEN ck % 4 IN (0, 3) THEN 2 ELSE 3 END AS n, CASE WHEN ck % 4 = 3 THEN 40 ELSE 30 END AS margin FROM fac), c AS (SELECT *, unnest(range(n)) AS i FROM b)
+SELECT listing_id, i + 1 AS column, 36.0::double AS y0, 752.0::double AS y1,
+  round(CASE WHEN kind = 3 AND i = 0 THEN 30 WHEN kind = 2 THEN 612 * [0.08, 0.36, 0.64][i + 1] ELSE margin + i * (612 - 2 * margin)::double / n + CASE WHEN i > 0 THEN 4 ELSE 0 END END::double, 9) AS x0,
+  round(CASE WHEN kind = 2 THEN 612 * [0.35, 0.635, 0.91][i + 1] ELSE margin + (i + 1) * (612 - 2 * margin)::double / n + CASE WHEN i > 0 THEN 4 ELSE 0 END END::double, 9) AS x1 FROM c""",
     "anchor_ids": "SELECT listing_id, row_number() OVER (PARTITION BY directory_year, source_page, source_column, city ORDER BY source_record_order) AS occurrence, row_number() OVER (PARTITION BY directory_year ORDER BY source_page, source_column, source_record_order) AS record_order FROM fac",
-    "header_ffill": "SELECT listing_id, coalesce(last_value(CASE WHEN ck % 6 = 0 THEN upper(city) END IGNORE NULLS) OVER (PARTITION BY directory_year ORDER BY source_record_order ROWS UNBOUNDED PRECEDING), '') AS header FROM fac",
+    "header_ffill": "SELECT listing_id, coalesce(last_value(CASE WHEN ck % 6 = 0 THEN upper(city) END IGNORE NULLS) OVER (PARTITION BY directory_year ORDER BY source_page, source_column, source_record_order ROWS UNBOUNDED PRECEDING), '') AS header FROM fac",
+    "stratified_sample": f"WITH {_sampled(20, 7)} SELECT listing_id, directory_year::bigint AS directory_year, sample_stratum FROM sampled",
+    "gold_create": f"WITH {_sampled(50, 11)} SELECT concat('G', substr(sha1(concat('11|', source_anchor_id)), 1, 15)) AS sample_id, source_anchor_id, listing_id AS listing_id_at_sampling, directory_year::bigint AS directory_year, sample_stratum, page_quantile, 'active' AS review_disposition, name1 AS parsed_name1, zip AS parsed_zip, '' AS review_complete FROM sampled",
+    "stratum_counts": "SELECT sample_stratum, count(*) AS rows FROM reviews GROUP BY 1",
+    "review_domains": "SELECT 'address_check' AS column, 'maybe' AS value, count(*) AS rows FROM reviews WHERE ck % 41 = 0 HAVING count(*) > 0 UNION ALL SELECT 'review_complete', 'uncertain', count(*) FROM reviews WHERE ck % 43 = 0 HAVING count(*) > 0",
+    "gold_summary": f"""WITH {_METRICS}, s AS (SELECT coalesce(string_agg(y::varchar, '|' ORDER BY y) FILTER (directory_year IS NULL), '') AS missing_review_years, coalesce(string_agg(directory_year::varchar, '|' ORDER BY directory_year) FILTER (NOT pass), '') AS blocked_years, coalesce(sum(be), 0)::bigint AS unresolved_boundary_errors
+  FROM range(1994, 2003) r(y) FULL JOIN k ON y = directory_year)
+SELECT *, missing_review_years = '' AND blocked_years = '' AND unresolved_boundary_errors = 0 AS passing FROM s""",
+    "service_tokens": """SELECT DISTINCT listing_id, '2' AS group_index, code, 'ZZQ9' AS unknown FROM svc WHERE code <> ''
+UNION ALL SELECT listing_id, '3', unnest(['TX', 'HH', 'PI']), 'ZZQ9' FROM (SELECT DISTINCT listing_id FROM svc) b""",
+    "code_split": f"""WITH c AS (SELECT DISTINCT code FROM svc), t AS (SELECT a.code || b.code AS token FROM c a CROSS JOIN c b), known AS (SELECT unnest({KNOWN}) AS code),
+cut AS (SELECT DISTINCT token, k.code AS head, l.code AS tail FROM t JOIN known k ON starts_with(token, k.code) JOIN known l ON l.code = substr(token, length(k.code) + 1)),
+best AS (SELECT token, head || '+' || tail AS pieces FROM cut QUALIFY row_number() OVER (PARTITION BY token ORDER BY length(head) DESC) = 1)
+SELECT token, CASE WHEN token IN (SELECT code FROM known) THEN token ELSE pieces END AS pieces FROM t LEFT JOIN best USING (token)""",
+    "lines_scan": """WITH co AS (SELECT listing_id, string_agg(DISTINCT code, ' ' ORDER BY code) AS codes FROM svc GROUP BY 1),
+t AS (SELECT directory_year, source_page, source_column, source_record_order, unnest(range(6)) AS i, unnest([CASE WHEN ck % 6 = 0 THEN 'CITY OF ' || translate(upper(city), '0123456789', 'ABCDEFGHIJ') END, translate(nullif(name1, ''), '#0123456789', ' abcdefghij'), address1,
+  city || CASE WHEN ck % 4 = 3 THEN '. new york ' || zip || '-1234' WHEN ck % 4 = 2 THEN ', A1' || zip WHEN ck % 4 = 1 THEN ', Oregon ' || replace(zip, '5', 'S') ELSE ', ' || state || ' ' || zip END,
+  CASE WHEN ck % 4 = 0 THEN 'Intake: ' ELSE 'Phone: ' END || '(503) 555-' || lpad((ck % 10000)::varchar, 4, '0'), '① ' || coalesce(codes, 'SA')]) AS text FROM fac LEFT JOIN co USING (listing_id))
+SELECT directory_year::bigint AS directory_year, source_page::bigint AS page, source_column::bigint AS column, (source_record_order * 10 + i)::bigint AS line_no, text FROM t WHERE text <> ''""",
 }
