@@ -9,11 +9,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from rollbook import runs
+from rollbook import cli, release, runs
 from rollbook.functions import text as T
 from rollbook.functions.geography import geography
 from rollbook.functions.tokens import Codes, normalize_markers, service_tokens
-from rollbook.operators import bounds, linkage, quality, records, sampling, status
+from rollbook.operators import bounds, evaluation, geo, linkage, quality, records, sampling, status
 from rollbook.sources import readers, writers
 from rollbook.streaming import incremental
 
@@ -153,7 +153,13 @@ def test_sinks_and_runs(spark, tmp_path):
     work = lambda y: calls.append(y) or ({"structural_pass": True} if y == 2020 else 1 / 0)
     for _ in range(2):
         runs.run_years(tmp_path / "run", [2020, 2021], "sig", work)
-    assert calls == [2020, 2021, 2021] and runs.validate(tmp_path / "run", [2020, 2021, 2022]) == {"missing": [2022], "failed": [2021], "blocked": [], "complete": False}
+    assert calls == [2020, 2021, 2021] and runs.validate(tmp_path / "run", [2020, 2021, 2022]) == {"missing": [2022], "failed": [2021], "incomplete": [], "blocked": [], "complete": False}
+    assert [(r.directory_year, r.state, r.structural_pass) for r in runs.read_status(spark, tmp_path / "run").collect()] == [(2020, "complete", True), (2021, "failed", False)]
+    runs.run_years(tmp_path / "run", [2020, 2023, 2024], "sig", lambda y: {"structural_pass": True}, workers=3)
+    assert runs.validate(tmp_path / "run", [2020, 2023, 2024])["incomplete"] == [2023, 2024]
+    assert runs.selected([2022, 2020, 2021], 2021) == [2021, 2022] and runs.selected([2020, 2021], only={2021}) == [2021]
+    with pytest.raises(ValueError, match="2019"):
+        runs.selected([2020], only={2019})
     assert runs.latest_run(tmp_path) == tmp_path / "run"
 
 
@@ -191,3 +197,99 @@ def test_rights_scan(spark):
     whole = {r["file"]: tuple(r)[1:] for r in quality.rights_scan(pages, "file", whole=True).collect()}
     assert whole["a"][2] and whole["b"][1]
     assert quality.rights_scan(pages.limit(0), "file").count() == 0
+
+
+def test_print_order_carries_headers_over_columns(spark):
+    rows = [(2000, 2, 1, 1, None, True), (2000, 1, 2, 5, "B", False), (2000, 1, 2, 6, None, True), (2000, 1, 1, 9, None, True), (2000, 1, 2, 4, None, True), (2000, None, 1, 1, "A", True), (2001, 1, 1, 1, None, True), (2000, 3, 1, 1, None, None)]
+    lines = spark.createDataFrame(rows, "directory_year int, page int, column int, line_no int, h string, counted boolean")
+    got = {(r.directory_year, r.page, r.column, r.line_no): (r.header_so_far, r.number_so_far) for r in records.in_print_order(lines, F.col("h"), F.col("counted")).collect()}
+    assert got == {(2000, None, 1, 1): ("A", 1), (2000, 1, 1, 9): ("A", 2), (2000, 1, 2, 4): ("A", 3), (2000, 1, 2, 5): ("B", 3), (2000, 1, 2, 6): ("B", 4), (2000, 2, 1, 1): ("B", 5), (2000, 3, 1, 1): ("B", 5), (2001, 1, 1, 1): ("", 1)}
+
+
+def test_geocode_pending_asks_in_whole_batches(spark):
+    fac = spark.createDataFrame([(f"L{i:03}",) for i in range(57)], "listing_id string")
+    cache = spark.createDataFrame([("L003", "old"), ("L040", "old")], "listing_id string, county_fips string")
+    out = geo.geocode_pending(fac, cache, lambda f: f.assign(county_fips=f"{len(f)}"), "listing_id string, county_fips string", 10).collect()
+    sizes = [r.county_fips for r in out]
+    assert len(out) == 57 and sizes.count("old") == 2 and sizes.count("10") == 50 and sizes.count("5") == 5
+    assert geo.geocode_pending(fac.limit(0), cache, lambda f: f, "listing_id string, county_fips string").count() == 2
+
+
+def test_attach_takes_the_least_row(spark):
+    fac = spark.createDataFrame([("a", "x"), ("b", "y"), (None, "z")], "listing_id string, county string")
+    extra = spark.createDataFrame([("a", "2", 1), ("a", "1", 9), (None, "3", 0)], "listing_id string, county string, n int").repartition(3)
+    assert {tuple(r) for r in geo.attach(fac, extra).collect()} == {("a", "1", 9), ("b", None, None), (None, None, None)}
+
+
+def test_json_items(spark):
+    texts = spark.createDataFrame([('["a", "", "b"]',), ("plain",), ("",), (None,), ("[]",)], "t string")
+    assert [r.x for r in texts.select(status.json_items(F.col("t")).alias("x")).collect()] == [["a", "b"], ["plain"], [], [], []]
+
+
+def test_page_gate_and_counted_reasons(spark):
+    fac = spark.createDataFrame([(y, "OR" if i else "??", "" if i < 2 else "n", "a", "[]", 1) for y in (2000, 2001) for i in range(10)], "directory_year int, state string, name1 string, address1 string, parser_warnings string, source_page int")
+    svc = spark.createDataFrame([(y, f"L{i}") for y in (2000, 2001) for i in range(7)], "directory_year int, listing_id string")
+    avail = spark.createDataFrame([(2000, "OP")], "directory_year int, code string")
+    expected = spark.createDataFrame([(2000, 20, "early_ocr", 9, 8), (2001, None, "two_column", 9, 9)], "directory_year int, expected_listings int, layout_profile string, end_page int, pdf_page_count int")
+    got = {r.directory_year: r.blocking_reasons.split("; ") for r in quality.structural_metrics(fac, svc, avail, expected).collect()}
+    early = ["1 malformed state records", "implausible listing count: 10", "PDF ends before the configured final page", "missing facility-name share is 20.0%", "listing count differs from comparison fixture by 50.0%"]
+    late = ["1 malformed state records", "implausible listing count: 10", "service coverage 70.0% is below 80%", "empty service availability", "missing facility-name share is 20.0%"]
+    assert got == {2000: early, 2001: late}
+    bare = {r.directory_year: r.blocking_reasons for r in quality.structural_metrics(fac, svc, avail, expected.select("directory_year", "expected_listings")).collect()}
+    assert "final page" not in bare[2000] and "below 80%" in bare[2000]
+
+
+def test_review_domains(spark):
+    names = "name_check string, address_check string, services_check string, boundary_check string, review_complete string"
+    good = spark.createDataFrame([("Yes", "no", None, "", "YES"), ("uncertain", "yes", "yes", "yes", None)], names)
+    assert [r.review_complete for r in evaluation.check_reviews(good).collect()] == ["yes", ""]
+    for bad in (("maybe", "no", "no", "no", "yes"), ("yes", "no", "no", "no", "uncertain")):
+        with pytest.raises(ValueError, match="maybe|uncertain"):
+            evaluation.check_reviews(good.union(spark.createDataFrame([bad], names)))
+    with pytest.raises(ValueError, match="boundary_check"):
+        evaluation.check_reviews(good.drop("boundary_check"))
+
+
+def test_create_refuses_a_repeated_anchor(spark):
+    rows = [(f"L{i}", f"A{i}", 2000, 1 + i % 5, 1, "South", "TX", f"N{i}", "9701.0", *(False,) * 4) for i in range(30)]
+    names = "listing_id string, source_anchor_id string, directory_year int, page_quantile int, source_column int, census_region string, state string, name1 string, zip string, " + ", ".join(f"{f} boolean" for f in sampling.FLAGS.values())
+    frame = spark.createDataFrame(rows, names)
+    made = sampling.create(frame, 10, seed=1)
+    assert sampling.metadata(made, 1) == {"seed": 1, "total_rows": 10, "sample_sizes": {2000: 10}, "stratum_counts": {"random": 10}}
+    first = made.first()
+    assert first.sample_id.startswith("G") and first.parsed_zip == "9701" and first.review_disposition == "active" and first.corrected_name1 == ""
+    with pytest.raises(ValueError, match="more than once"):
+        sampling.create(frame.union(frame), 30, seed=1)
+
+
+def test_release(spark, tmp_path):
+    fac = spark.createDataFrame([(f"L{i}", 2000 + i % 2, 1999 + i % 2, f"N{i}", "1 Elm", "OR", "[]", "OP") for i in range(8)], "listing_id string, directory_year int, survey_year int, name1 string, address1 string, state string, parser_warnings string, service_codes string")
+    svc = fac.select("listing_id", "directory_year", F.lit("OP").alias("code"))
+    avail = spark.createDataFrame([(y, "OP", "c", "l", True) for y in (2000, 2001)], "directory_year int, code string, category string, label string, asked boolean")
+    expected = spark.createDataFrame([(2000, 4, "yes"), (2001, 4, "yes")], "directory_year int, expected_listings int, acceptance_reference string")
+    geocoded = fac.select("listing_id", F.lit("41001").alias("county_fips"), F.lit("high").alias("geocode_confidence"))
+    gold = fac.select("listing_id", F.col("address1").alias("address1_gold"), F.col("service_codes").alias("service_codes_gold"), F.lit("yes").alias("review_complete"))
+    links = fac.select("listing_id", F.concat(F.lit("F"), "listing_id").alias("facility_id"))
+    out = str(tmp_path / "release")
+    with pytest.raises(ValueError, match="manual gold sample"):
+        release.assemble(out, fac, svc, avail, expected, links, geocoded)
+    assert not (tmp_path / "release").exists()
+    made = release.assemble(out, fac, svc, avail, expected, links, geocoded, gold, 0.99)
+    assert made["release_ready"] and made["blocking_reasons"] == [] and made["rows"] == {"facilities": 8, "facility_services": 8, "service_availability": 2, "facility_service_status": 8, "facility_entities": 8, "geocoding_results": 8}
+    read = {r.listing_id: (r.facility_id, r.county_fips, r.release_status) for r in spark.read.parquet(f"{out}/facilities.parquet").collect()}
+    assert len(read) == 8 and read["L1"] == ("FL1", "41001", "final")
+    assert spark.read.option("header", True).csv(f"{out}/facilities_csv").count() == 8 and spark.read.text(f"{out}/qa_report").count() == 1
+    assert spark.read.csv(f"{out}_checksums", sep=" ").count() > 6
+    early = release.assemble(str(tmp_path / "early"), fac, svc, avail, expected, preliminary=True)
+    assert not early["release_ready"] and release.dashboard_status(early, "1")["blocking_reasons"] == early["blocking_reasons"]
+    assert release.dashboard_status(None)["blocking_reasons"] == ["release has not been built"]
+    (tmp_path / "a.pdf").write_bytes(b"a")
+    rights = spark.createDataFrame([("a.pdf", True), ("b.pdf", False)], "file string, archive_eligible boolean")
+    assert release.zip_sources(rights, str(tmp_path), str(tmp_path / "s.zip")) == ["b.pdf"] and zipfile.ZipFile(tmp_path / "s.zip").namelist() == ["a.pdf"]
+
+
+def test_cli_reads_the_years_asked_for(spark, tmp_path):
+    spark.createDataFrame([(y, "L", "OP") for y in (1999, 2000, 2001)], "directory_year int, listing_id string, code string").write.parquet(str(tmp_path / "t.parquet"))
+    whole = spark.read.parquet(str(tmp_path / "t.parquet"))
+    assert {r.directory_year for r in cli.in_years(whole, 2000, None).collect()} == {2000, 2001} and cli.in_years(whole, None, 1999).count() == 1
+    assert cli.in_years(whole, None, None).count() == 3 and cli.in_years(whole.drop("directory_year"), 2000, 2000).count() == 3
