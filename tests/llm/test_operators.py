@@ -154,6 +154,36 @@ def test_image_classes_and_recall(spark, monkeypatch, bucket):
     assert [got[i] for i in range(7)] == list(range(7))
 
 
+@pytest.mark.parametrize("bucket", [256, 3])
+def test_links_without_shared_slots(spark, monkeypatch, bucket):
+    """Strong noise leaves matches enough but few equal slices: every pair that meets the threshold is in one class."""
+    monkeypatch.setattr(images, "BUCKET", bucket)
+    rng = np.random.default_rng(23)
+    pictures = [waves(rng, 96) for _ in range(12)]
+    given = [*enumerate(pictures), *((100 + i, np.clip(p + np.rint(rng.normal(0, 9, p.shape)), 0, 255).astype(np.uint8)) for i, p in enumerate(pictures))]
+    described = [images.describe(images.decode(pgm(p))) for _, p in given]
+    links = [(i, j) for i in range(len(given)) for j in range(i) if images.consensus(described[i], described[j]) >= images.CONSENSUS]
+    shared = [len(np.intersect1d(images._slots(described[i]), images._slots(described[j]))) for i, j in links]
+    assert sum(n < images.VOTES for n in shared) >= 3
+    got = {r["id"]: r["class_id"] for r in rows(images.find_copies(spark.createDataFrame([(i, pgm(p)) for i, p in given], "id long, image binary")))}
+    assert got == {given[k][0]: given[c][0] for k, c in brute_classes(given, links).items()}
+
+
+@pytest.mark.parametrize("group", [1536, 100, 15])
+def test_matches_of_blocks(monkeypatch, group):
+    """The links of two blocks are those of each pair alone, also if images have more corners than a product takes."""
+    monkeypatch.setattr(images, "GROUP", group)
+    rng = np.random.default_rng(4)
+    pictures = [waves(rng, 96) for _ in range(6)]
+    others = [np.clip(p + np.rint(rng.normal(0, 8, p.shape)), 0, 255).astype(np.uint8) for p in pictures]
+    sides = [[images.describe(p.astype(np.float32)) for p in side] for side in (pictures, others)]
+    ids = [np.arange(k, k + 6) for k in (0, 6)]
+    one, two = (images._Block(i.tobytes(), i.tobytes(), np.array([len(d) for d in side]).tobytes(), b"".join(d.tobytes() for d in side)) for i, side in zip(ids, sides, strict=True))
+    agree = {(i, 6 + j): images.consensus(a, b) for i, a in enumerate(sides[0]) for j, b in enumerate(sides[1])}
+    assert all(images.consensus(b, a) == agree[i, 6 + j] for i, a in enumerate(sides[0]) for j, b in enumerate(sides[1]))
+    assert sorted(images._compared(one, two, False)) == [k for k, n in agree.items() if n >= images.CONSENSUS]
+
+
 def filtered_png(a, method):
     """A PNG of grey or colour pixels with one filter in all rows, written from the format's definition."""
     h, w, c = a.shape
