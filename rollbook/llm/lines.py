@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from .common import _powers, beside, cut, mix, string_blocks, tidy, unshort
+from .common import _powers, beside, cut_and_drop, mix, string_blocks, tidy, unshort
 
 MIN_CHARS = 24
 WORD = r"[^\x20\x09-\x0D]"
@@ -134,7 +134,8 @@ def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS, short: bool = Fal
     # Equal rows of the input bring a line twice.
     texts = texts.groupBy("h1", "h2", "first").agg(F.max("line").alias("line"))
     # A number that follows the position stands for the line among the variants, which are many; the cut fixes it.
-    texts = cut(texts.orderBy("first").select("h1", "h2", "line", F.monotonically_increasing_id().alias("rank")))
+    # The whole texts and the half-line keys were shuffled for it, as much as is shuffled from here on.
+    texts = cut_and_drop(texts.orderBy("first").select("h1", "h2", "line", F.monotonically_increasing_id().alias("rank")))
 
     rows = texts.select("rank", "line").mapInArrow(_variants, "rank long, variant long, cut boolean, spot boolean")
     # Members of a key differ in one character, so the alphabet and the line's length bound a window.

@@ -4,6 +4,7 @@ import hashlib
 import json
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -273,6 +274,23 @@ def test_the_query_removes_short_copies(spark):
     assert sum(want.values()) and got == {i: n + want[i] for i, n in long_only.items()}
 
 
+def test_shuffles_before_the_variants_are_dropped(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        blocks = disk.getAllBlocks()
+        names = [blocks.apply(i).name() for i in range(blocks.size())]
+        return {x for x in names if x.startswith("shuffle_")}
+
+    before = held()
+    docs = spark.createDataFrame([(i, i, "\n".join(f"line {j} of some text, long enough" for j in range(i, i + 9))) for i in range(30)], "doc_id long, key long, text string")
+    plan = lines.removed_lines(docs)
+    end = time.time() + 10
+    while (left := held() - before) and time.time() < end:
+        time.sleep(0.1)
+    assert not left and plan.count() == 30
+
+
 # 4. Tool calls
 
 
