@@ -210,6 +210,31 @@ def test_png_filters(method):
     assert (images.decode(filtered_png(a[..., :1], method)) == a[..., 0]).all()
 
 
+def test_bits_apart_from_products_of_half_the_length():
+    rng = np.random.default_rng(3)
+    corners = [np.zeros(60, images.KIND) for _ in range(2)]
+    corners[0]["bits"] = rng.integers(0, 256, (60, 32))
+    # At every distance of the first 60, all in one half or in both; and all or no bits of a half, which makes the other sums extreme.
+    for k in range(60):
+        flips = np.zeros(256, np.uint8)
+        flips[rng.choice([128, 256][k % 2], k, replace=False)] = 1
+        corners[1]["bits"][k] = corners[0]["bits"][k] ^ np.packbits(flips)
+    for k, (first, second) in enumerate([(0, 0), (0, 255), (255, 0), (255, 255)]):
+        for side in corners:
+            side["bits"][k, :16], side["bits"][k, 16:] = first, second
+            side["bits"][k + 4] = side["bits"][k]
+    corners[1]["bits"][4:8, 0] ^= 7
+    corners[1]["bits"][4:8, 16:21] ^= np.uint8([255, 255, 255, 255, 15])
+    one, two = (images._Block(np.arange(60).tobytes(), np.arange(60).tobytes(), np.ones(60, np.int64).tobytes(), x.tobytes()) for x in corners)
+    sides = one.sides(one.groups[0], left=True), two.sides(two.groups[0], left=False)
+    row, column, i, j = images._near(one, two, one.groups[0], two.groups[0], *sides)
+    bits = [np.unpackbits(x["bits"], axis=1) for x in corners]
+    apart = (bits[0][:, None] != bits[1][None]).sum(2)
+    assert sides[0].shape[1] == 128 and {38, 39, 40, 41} <= set(apart.ravel().tolist())
+    assert list(zip(row.tolist(), column.tolist(), strict=True)) == [tuple(x) for x in np.argwhere(apart < images.MAX_BITS).tolist()]
+    assert (i == row).all() and (j == column).all()
+
+
 # 3. Lines
 
 
