@@ -466,6 +466,16 @@ def test_substrings(spark, monkeypatch, limit):
     assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got) == want
 
 
+def test_the_query_tells_what_is_kept(spark):
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    got = queries.op5_suffix_dedup(spark, folder).collect()
+    assert list(got[0].asDict()) == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_kept"]
+    assert sorted((r.doc_id, r.n_bytes) for r in got) == sorted((i, len(x)) for i, x in texts.items())
+    assert all(r.n_kept == r.n_bytes - r.n_removed for r in got) and any(r.n_removed for r in got)
+    assert all(r.kept_sha256 == hashlib.sha256(texts[r.doc_id]).hexdigest() for r in got if not r.n_removed)
+
+
 def test_previous_factors():
     rng = random.Random(2)
     for _ in range(30):
