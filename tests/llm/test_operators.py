@@ -476,6 +476,33 @@ def test_the_query_tells_what_is_kept(spark):
     assert all(r.kept_sha256 == hashlib.sha256(texts[r.doc_id]).hexdigest() for r in got if not r.n_removed)
 
 
+@pytest.mark.parametrize("width", [1, 3, 32])
+def test_windows_left_out_before_sorting(width):
+    """Every window with an equal one in another segment of its block stays, and others go."""
+    rng = random.Random(width)
+    left = 0
+    for _ in range(200):
+        n = rng.randrange(4, 12)
+        blocks, places, segments = [], [], []
+        for i in range(rng.randrange(1, 8)):
+            before, after = (bytes(rng.choices(b"ab", k=rng.randrange(n))) for _ in range(2))
+            blocks.append(i % 2)
+            places.append(len(before))
+            segments.append((before + b"X" + after).ljust(n, b"c"))
+            # All windows hold the anchor.
+            segments[-1] = segments[-1][: len(before) + n]
+        windows = [{(b, p - i, s[i : i + n]): i for i in range(len(s) - n + 1)} for b, p, s in zip(blocks, places, segments, strict=True)]
+        times = Counter(k for own in windows for k in own)
+        for own, runs in zip(windows, substrings.shared_windows(blocks, places, segments, n, width), strict=True):
+            assert all(b < c - 1 for (_, b), (c, _) in zip(runs, runs[1:], strict=False))
+            kept = {i for a, b in runs for i in range(a, b + 1)}
+            assert kept <= set(own.values())
+            shared = {i for k, i in own.items() if times[k] > 1}
+            assert shared == kept if width == 1 else shared <= kept
+            left += len(own) - len(kept)
+    assert left
+
+
 def test_previous_factors():
     rng = random.Random(2)
     for _ in range(30):
