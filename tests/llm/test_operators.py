@@ -235,6 +235,28 @@ def test_bits_apart_from_products_of_half_the_length():
     assert (i == row).all() and (j == column).all()
 
 
+def test_matches_found_strip_by_strip(monkeypatch):
+    """A product that is made and looked through in parts, none of which holds more than ROWS rows, gives the matches of the whole."""
+    monkeypatch.setattr(images, "ROWS", 10)
+    monkeypatch.setattr(images, "STRIP", 4)
+    made, product = [], np.matmul
+    monkeypatch.setattr(images.np, "matmul", lambda a, b, **out: made.append((len(a), b.shape[1])) or product(a, b, **out))
+    rng = np.random.default_rng(5)
+    corners = [np.zeros(n, images.KIND) for n in (33, 21)]
+    for side in corners:
+        side["bits"] = rng.integers(0, 256, (len(side), 32))
+    # Copies with few bits changed, within a strip, on both sides of its edges and in the last, short one; two of one corner.
+    for k, (i, flipped) in enumerate([(0, 0), (3, 5), (4, 39), (9, 40), (10, 1), (11, 39), (29, 7), (30, 12), (32, 3), (32, 2)]):
+        flips = np.zeros(256, np.uint8)
+        flips[rng.choice(256, flipped, replace=False)] = 1
+        corners[1]["bits"][2 * k] = corners[0]["bits"][i] ^ np.packbits(flips)
+    one, two = (images._Block(*(np.array([x], np.int64).tobytes() for x in (0, 0, len(side))), side.tobytes()) for side in corners)
+    sides = one.sides(one.groups[0], left=True), two.sides(two.groups[0], left=False)
+    row, column, *_ = images._near(one, two, one.groups[0], two.groups[0], *sides)
+    assert list(zip(row.tolist(), column.tolist(), strict=True)) == [(0, 0), (3, 2), (4, 4), (10, 8), (11, 10), (29, 12), (30, 14), (32, 18)]
+    assert made == [(10, 21), (10, 21), (10, 21), (3, 21)]
+
+
 # 3. Lines
 
 
